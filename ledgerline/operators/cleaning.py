@@ -1,14 +1,21 @@
 """Cleaning (J1, J2, I1-I7): deduplicate, impute, correct, parse dates.
 
-Shuffle plan of ``deduplicate``: two hash aggregations, both with map-side
+Shuffle plan of ``deduplicate``: two aggregations, both with map-side
 partial aggregation, so a hot key (a NULL id holding a third of the rows, say)
 is collapsed inside each map task before it crosses the network:
 
-1. group by all 13 columns -> one row per distinct row plus its copy count (J1);
+1. group by all 13 columns -> one row per distinct row plus its copy count (J1,
+   hash aggregate);
 2. group by ``transaction_id`` -> the survivor ``min(struct(other 12 columns))``
-   (ascending, NULLs first, field by field) plus the variant and copy counts (J2).
-
-The survivor is deterministic, unlike ``dropDuplicates([key])``.
+   (ascending, NULLs first, field by field) plus the variant and copy counts
+   (J2; sort-based aggregate, since a struct of strings is not a fixed-width
+   hash buffer; it spills like any external sort).
+
+When only the survivor is needed, Catalyst drops step 1 by itself (``min`` does
+not care about duplicates), leaving one shuffle. The survivor is
+deterministic, unlike ``dropDuplicates([key])``; a window ``row_number`` would
+give the same row but with no map-side combine, so one hot key would land in
+one task whole.
 """
 
 from __future__ import annotations
@@ -101,11 +108,12 @@ def _clean_columns(df: DataFrame) -> DataFrame:
     return parse_dates(correct_quantity(impute_defaults(df)))
 
 
-def cleaning_stats(deduped_with_counts: DataFrame) -> DataFrame:
-    """I7 as one aggregate row over the output of ``deduplicate(keep_counts=True)``.
+def stats_columns() -> list[Column]:
+    """I7 as aggregate expressions over the output of ``deduplicate(keep_counts=True)``.
 
     Missing and negative counts are taken after dedup and before bad order
-    dates are dropped, as in the source job.
+    dates are dropped, as in the source job. No DISTINCT, so the same list
+    works in ``agg`` and in ``DataFrame.observe``.
     """
     def n_if(cond: Column) -> Column:
         return F.count_if(cond).cast("bigint")
@@ -114,7 +122,7 @@ def cleaning_stats(deduped_with_counts: DataFrame) -> DataFrame:
     bad_dates = n_if(parse_date("order_date").isNull())
     kept = F.count(F.lit(1)).cast("bigint")
     variants = F.coalesce(F.sum(VARIANTS), F.lit(0)).cast("bigint")
-    return deduped_with_counts.agg(
+    return [
         before.alias("rows_before_cleaning"),
         (before - variants).alias("exact_duplicate_rows_removed"),
         (variants - kept).alias("duplicate_transaction_ids_removed"),
@@ -126,14 +134,19 @@ def cleaning_stats(deduped_with_counts: DataFrame) -> DataFrame:
         bad_dates.alias("invalid_order_dates_dropped"),
         (kept - bad_dates).alias("rows_after_cleaning"),
         (before - kept + bad_dates).alias("total_rows_removed"),
-    )
+    ]
+
+
+def cleaning_stats(deduped_with_counts: DataFrame) -> DataFrame:
+    """I7 as one aggregate row."""
+    return deduped_with_counts.agg(*stats_columns())
 
 
 def clean_data(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """Returns (cleaned frame, one-row statistics frame); both lazy.
 
-    Both read the same deduplicated frame: persist ``deduplicate(df,
-    keep_counts=True)`` yourself, or use ``plans.pipeline.run`` which does.
+    Both read the same deduplicated frame; ``plans.pipeline.run`` gets the
+    statistics in the same pass as the processed-table write instead.
     """
     deduped = deduplicate(df, key, keep_counts=True)
     return clean_deduped(deduped), cleaning_stats(deduped)

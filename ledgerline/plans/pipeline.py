@@ -1,10 +1,13 @@
 """End-to-end run: ingest -> clean -> transform -> validate -> write -> report.
 
-Passes over the data: one for the cleaning statistics and the processed-table
-write together (the deduplicated frame is persisted between them), one for
-the validation report, one per report. The processed table is written once
-and every later stage reads it back, which cuts the lineage: a lost executor
-costs a re-read of table files, not a re-run of the dedup shuffles.
+Passes over the raw data: one. The ingest counts and the cleaning statistics
+are plain aggregates, collected with ``DataFrame.observe`` while the processed
+table is written (observed metrics of the writing stage are merged once per
+partition, so task retries do not double count). Reject lines are written in a
+second scan only when there are any. Every later stage reads the written
+table back, which cuts the lineage: a lost executor costs a re-read of table
+files, not a re-run of the dedup shuffle. Reports read only the columns they
+need from it (parquet column pruning).
 """
 
 from __future__ import annotations
@@ -13,8 +16,7 @@ import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import cleaning, reports, transform, validation
@@ -40,12 +42,15 @@ class RunResult:
 
 def process(raw: DataFrame,
             margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
-            aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lazy (deduplicated-with-counts, processed, cleaning-stats) frames."""
+            aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
+            stats: Observation | None = None) -> DataFrame:
+    """Lazy processed frame (cleaned, transformed, flagged). With ``stats`` the
+    cleaning statistics are observed on the deduplicated frame."""
     deduped = cleaning.deduplicate(raw, keep_counts=True)
-    processed = validation.add_flags(
+    if stats is not None:
+        deduped = deduped.observe(stats, *cleaning.stats_columns())
+    return validation.add_flags(
         transform.transform_data(cleaning.clean_deduped(deduped), margins, aliases))
-    return deduped, processed, cleaning.cleaning_stats(deduped)
 
 
 def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None = None,
@@ -58,26 +63,28 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     ``processed_path`` defaults to a fresh folder under the session's shared
     ``spark.checkpoint.dir``.
     """
-    counts = None
+    ingest_obs = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
-        ing = csv_ingest.ingest_csv(spark, csv_path)
-        counts = ing.counts.first().asDict()
-        log.info("ingest: %s", counts)
-        if rejects_path and counts["malformed_records"] > 0:
-            files.write_rejects(ing.bad, rejects_path)
-        raw = ing.good
+        parsed = csv_ingest.parse_lines(csv_ingest.read_lines(spark, csv_path))
+        ingest_obs = Observation("ingest")
+        parsed = parsed.observe(ingest_obs, *csv_ingest.count_columns())
+        raw, bad = csv_ingest.split_parsed(parsed)
 
-    deduped, processed, stats_df = process(raw, margins, aliases)
+    stats_obs = Observation("cleaning")
+    processed = process(raw, margins, aliases, stats_obs)
     processed_path = processed_path or scratch_path(spark, "processed")
-    deduped.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = stats_df.first().asDict()
-        log.info("cleaning: %s", stats)
-        files.write_processed(processed, processed_path, processed_format)
-    finally:
-        deduped.unpersist()
+    files.write_processed(processed, processed_path, processed_format)
+    stats = dict(stats_obs.get)
+    log.info("cleaning: %s", stats)
+
+    counts = None
+    if ingest_obs is not None:
+        counts = dict(ingest_obs.get)
+        log.info("ingest: %s", counts)
+        if rejects_path and counts["malformed_records"] > 0:
+            files.write_rejects(bad, rejects_path)
 
     reader = spark.read.schema(processed.schema)
     if processed_format == "csv":

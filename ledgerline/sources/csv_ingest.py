@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,13 +52,18 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def ingest_counts(parsed: DataFrame) -> DataFrame:
-    """Total, malformed and usable line counts in one pass."""
-    return parsed.agg(
+def count_columns() -> list[Column]:
+    """S6 as aggregate expressions (usable in ``agg`` and ``observe``)."""
+    return [
         F.count(F.lit(1)).cast("bigint").alias("total_records"),
         F.count_if(F.col(CORRUPT).isNotNull()).cast("bigint").alias("malformed_records"),
         F.count_if(F.col(CORRUPT).isNull()).cast("bigint").alias("usable_records"),
-    )
+    ]
+
+
+def ingest_counts(parsed: DataFrame) -> DataFrame:
+    """Total, malformed and usable line counts in one pass."""
+    return parsed.agg(*count_columns())
 
 
 def ingest_lines(lines: DataFrame, header: str | None = ",".join(RAW_COLUMNS)) -> Ingested:
