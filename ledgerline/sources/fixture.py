@@ -8,8 +8,6 @@ grows with the tables. Rules are listed in FIXTURES.md section 4.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,20 +38,23 @@ QUOTED_CITY = "Navi Mumbai, Thane"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _pad(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+# Columns the view needs from each driver table, with their stored types.
+# Reading with an explicit schema skips footer-based inference and reads only
+# these columns.
+VIEW_INPUTS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_type string",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz"),
+}
 
 
-def _first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    expr = None
-    for cond, val in rules:
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(otherwise)
+def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,57 +74,51 @@ def sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` (nation/region always, customer
     and part at small scale), otherwise sort-merge; AQE splits skewed partitions.
     """
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    t = {name: table(spark, sf_dir, name, ddl) for name, ddl in VIEW_INPUTS.items()}
+    geo = t["nation"].join(t["region"], F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name", "r_name")
     # nation x region has 25 rows at every scale factor (fixed by the TPC-H
     # schema), so broadcasting it is bounded; the planner's size-product
     # estimate would otherwise broadcast customer, which grows with the data.
-    customer = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-                .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-                .select("c_custkey", "n_name", "r_name"))
-    orders = (table(spark, sf_dir, "orders")
-              .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-              .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-              .drop("c_custkey"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_shipdate")
-    return (lineitem
-            .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey")))
-
-
-def _raw_columns(b: DataFrame) -> list[Column]:
-    okey, ckey, pkey = F.col("l_orderkey"), F.col("o_custkey"), F.col("l_partkey")
-    cat = _first_match([(F.col("p_type") == F.lit(k), F.lit(v)) for k, v in PART_TYPE_CATEGORY.items()],
-                       F.lit(OTHER_CATEGORY))
-    qty = F.col("l_quantity").cast("int")
-    price = F.col("l_extendedprice").cast(PRICE)
-    disc = F.col("l_discount").cast(RATE)
+    customer = t["customer"].join(F.broadcast(geo), F.expr("c_nationkey = n_nationkey"))
+    orders = t["orders"].join(customer, F.expr("o_custkey = c_custkey"))
+    return (t["lineitem"]
+            .join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+            .join(t["part"], F.expr("l_partkey = p_partkey")))
+
+
+def _lit(v: str) -> str:
+    assert "'" not in v and "\\" not in v, v
+    return f"'{v}'"
+
+
+def _raw_exprs() -> list[str]:
+    """The 13 raw columns as SQL expressions over the joined row (one JVM parse
+    each instead of hundreds of Column-building calls)."""
+    cat = ("CASE p_type " + " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in PART_TYPE_CATEGORY.items())
+           + f" ELSE {_lit(OTHER_CATEGORY)} END")
+    city = " ".join(f"WHEN o_custkey % 20 = {k} THEN {_lit(v)}" for k, v in CITY_VARIANTS.items())
+    bad_dates = " ".join(f"WHEN l_orderkey % {m} = 0 THEN {_lit(v)}" for m, v in BAD_ORDER_DATES)
+    qty = "CAST(l_quantity AS INT)"
+    price = f"CAST(l_extendedprice AS {PRICE.simpleString()})"
+    disc = f"CAST(l_discount AS {RATE.simpleString()})"
+    amount = AMOUNT.simpleString()
     return [
-        F.concat(F.lit("TXN"), _pad(okey, 9), F.lit("-"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        F.when(ckey % 50 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("CUST"), _pad(ckey, 7))).alias("customer_id"),
-        F.concat(F.lit("PROD"), _pad(pkey, 7)).alias("product_id"),
-        _first_match([(okey % 67 == 0, F.lit(None).cast("string")),
-                      (okey % 31 == 0, F.lower(cat)),
-                      (okey % 37 == 0, F.concat(F.lit("  "), F.upper(cat), F.lit(" ")))], cat).alias("category"),
-        _first_match([(ckey % 71 == 0, F.lit(None).cast("string"))]
-                     + [(ckey % 20 == k, F.lit(v)) for k, v in CITY_VARIANTS.items()],
-                     F.col("n_name")).alias("city"),
-        F.col("r_name").alias("state"),
-        F.when(pkey % 101 == 0, -qty).otherwise(qty).alias("quantity"),
-        price.alias("unit_price"),
-        disc.alias("discount"),
-        F.when(okey % 97 == 0, F.lit(Decimal(WRONG_TOTAL)).cast(AMOUNT))
-         .otherwise(F.round(qty * price * (F.lit(Decimal(1)) - disc), 2).cast(AMOUNT)).alias("total_amount"),
-        F.when(okey % 59 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("payment_method"),
-        _first_match([(okey % m == 0, F.lit(v)) for m, v in BAD_ORDER_DATES],
-                     F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
-        F.when(okey % 113 == 0, F.lit(None).cast("string"))
-         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("delivery_date"),
+        "concat('TXN', lpad(CAST(l_orderkey AS STRING), 9, '0'), '-', CAST(l_linenumber AS STRING)) AS transaction_id",
+        "CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE concat('CUST', lpad(CAST(o_custkey AS STRING), 7, '0')) END"
+        " AS customer_id",
+        "concat('PROD', lpad(CAST(l_partkey AS STRING), 7, '0')) AS product_id",
+        f"CASE WHEN l_orderkey % 67 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN lower({cat})"
+        f" WHEN l_orderkey % 37 = 0 THEN concat('  ', upper({cat}), ' ') ELSE {cat} END AS category",
+        f"CASE WHEN o_custkey % 71 = 0 THEN NULL {city} ELSE n_name END AS city",
+        "r_name AS state",
+        f"CASE WHEN l_partkey % 101 = 0 THEN -{qty} ELSE {qty} END AS quantity",
+        f"{price} AS unit_price",
+        f"{disc} AS discount",
+        f"CASE WHEN l_orderkey % 97 = 0 THEN CAST({WRONG_TOTAL} AS {amount})"
+        f" ELSE CAST(round({qty} * {price} * (1 - {disc}), 2) AS {amount}) END AS total_amount",
+        "CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE o_orderpriority END AS payment_method",
+        f"CASE {bad_dates} ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS order_date",
+        "CASE WHEN l_orderkey % 113 = 0 THEN NULL ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS delivery_date",
     ]
 
 
@@ -133,10 +128,9 @@ def sales_raw(spark: SparkSession, sf_dir: str, keys: bool = False) -> DataFrame
     The copies are made by exploding a 1- or 2-element array on the joined row,
     so the joins run once. ``keys=True`` keeps ``l_orderkey`` for CSV rendering.
     """
-    b = sales_base(spark, sf_dir)
-    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("l_orderkey") % 89 == 0, 2).otherwise(1)))
-    cols = _raw_columns(b) + ([F.col("l_orderkey"), F.col("l_linenumber")] if keys else [])
-    return b.select(*cols, copies.alias("_copy")).drop("_copy")
+    copies = "explode(sequence(1, CASE WHEN l_orderkey % 89 = 0 THEN 2 ELSE 1 END)) AS _copy"
+    exprs = _raw_exprs() + (["l_orderkey", "l_linenumber"] if keys else [])
+    return sales_base(spark, sf_dir).selectExpr(*exprs, copies).drop("_copy")
 
 
 def _field(c: Column) -> Column:
