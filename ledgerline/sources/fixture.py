@@ -8,7 +8,7 @@ grows with the tables. Rules are listed in FIXTURES.md section 4.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schema import AMOUNT, PRICE, RATE, RAW_COLUMNS
@@ -133,34 +133,27 @@ def sales_raw(spark: SparkSession, sf_dir: str, keys: bool = False) -> DataFrame
     return sales_base(spark, sf_dir).selectExpr(*exprs, copies).drop("_copy")
 
 
-def _field(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(""))
-
-
 def sales_csv_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
     """The raw view rendered as CSV text lines (column ``value``), with the
     CSV-only faults of FIXTURES.md section 5 injected by key."""
-    df = sales_raw(spark, sf_dir, keys=True)
-    okey = F.col("l_orderkey")
-    token = F.element_at(F.array(*[F.lit(t) for t in GARBAGE_TOKENS]),
-                         (F.col("l_linenumber") % len(GARBAGE_TOKENS) + 1).cast("int"))
+    tokens = "array(" + ", ".join(_lit(t) for t in GARBAGE_TOKENS) + ")"
+    token = f"element_at({tokens}, CAST(l_linenumber % {len(GARBAGE_TOKENS)} + 1 AS INT))"
     fields = []
     for name in RAW_COLUMNS:
-        f = _field(F.col(name))
+        f = f"coalesce(CAST({name} AS STRING), '')"
         if name == "quantity":
-            f = F.when(okey % CSV_QTY_TOKEN == 0, token).when(okey % CSV_BLANK_QTY == 0, F.lit("")).otherwise(f)
+            f = f"CASE WHEN l_orderkey % {CSV_QTY_TOKEN} = 0 THEN {token} WHEN l_orderkey % {CSV_BLANK_QTY} = 0 THEN '' ELSE {f} END"
         elif name == "unit_price":
-            f = F.when(okey % CSV_PRICE_TOKEN == 0, token).otherwise(f)
+            f = f"CASE WHEN l_orderkey % {CSV_PRICE_TOKEN} = 0 THEN {token} ELSE {f} END"
         elif name == "category":
-            f = F.when(okey % CSV_SPACES_CATEGORY == 0, F.lit(SPACES_CATEGORY)).otherwise(f)
+            f = f"CASE WHEN l_orderkey % {CSV_SPACES_CATEGORY} = 0 THEN {_lit(SPACES_CATEGORY)} ELSE {f} END"
         elif name == "city":
-            f = F.when(okey % CSV_QUOTED_CITY == 0, F.lit(f'"{QUOTED_CITY}"')).otherwise(f)
+            f = f"CASE WHEN l_orderkey % {CSV_QUOTED_CITY} = 0 THEN {_lit(chr(34) + QUOTED_CITY + chr(34))} ELSE {f} END"
         fields.append(f)
-    line = F.concat_ws(",", *fields)
-    line = (F.when(okey % CSV_SHORT == 0, F.regexp_replace(line, ",[^,]*$", ""))
-             .when(okey % CSV_LONG == 0, F.concat(line, F.lit(",EXTRA")))
-             .otherwise(line))
-    lines = df.select(line.alias("value"))
+    line = "concat_ws(',', " + ", ".join(fields) + ")"
+    value = (f"CASE WHEN l_orderkey % {CSV_SHORT} = 0 THEN regexp_replace({line}, ',[^,]*$', '')"
+             f" WHEN l_orderkey % {CSV_LONG} = 0 THEN concat({line}, ',EXTRA') ELSE {line} END AS value")
+    lines = sales_raw(spark, sf_dir, keys=True).selectExpr(value)
     if header:
         head = spark.range(1).select(F.lit(",".join(RAW_COLUMNS)).alias("value"))
         lines = head.unionByName(lines)
