@@ -19,14 +19,22 @@ SESSION_DEFAULTS = {
 
 
 def get_session(app_name: str = "ledgerline", master: str | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
+                conf: dict[str, str] | None = None, packages: list[str] | None = None) -> SparkSession:
+    """S1. Returns the active session untouched if there is one; otherwise
+    creates one with the defaults above, ``conf`` on top, and ``packages``
+    (Maven coordinates, e.g. a JDBC driver for the JDBC sink) on the classpath.
+    Like any ``getOrCreate``, packages only take effect on the call that
+    starts the JVM."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**SESSION_DEFAULTS, **(conf or {})}.items():
+    settings = {**SESSION_DEFAULTS, **(conf or {})}
+    if packages:
+        settings["spark.jars.packages"] = ",".join(packages)
+    for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
 

@@ -44,3 +44,10 @@ def test_jdbc_options_and_columns(raw_df, monkeypatch):
     assert jdbc.mysql_url(conn).startswith("jdbc:mysql://db.example:3306/retail_sales_db")
     df = validated(raw_df, [row("T1")])
     assert len(jdbc.warehouse_frame(df).columns) == 19
+
+
+def test_session_helpers(spark):
+    from ledgerline.session import get_session, scratch_path
+    assert get_session() is spark
+    p = scratch_path(spark, "x")
+    assert "/ledgerline/x-" in p and p.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
