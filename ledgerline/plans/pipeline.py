@@ -43,10 +43,19 @@ class RunResult:
 def process(raw: DataFrame,
             margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
             aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
-            stats: Observation | None = None) -> DataFrame:
+            stats: Observation | None = None, cluster_by_month: bool = False) -> DataFrame:
     """Lazy processed frame (cleaned, transformed, flagged). With ``stats`` the
-    cleaning statistics are observed on the deduplicated frame."""
+    cleaning statistics are observed on the deduplicated frame.
+
+    ``cluster_by_month`` rebalances the deduplicated rows by the month of their
+    order date (the processed table's partition column) for a partitioned
+    write. The rebalance comes before the observation, so the statistics are
+    collected in the writing (result) stage, whose task results are merged once
+    per partition even when tasks or executors are lost.
+    """
     deduped = cleaning.deduplicate(raw, keep_counts=True)
+    if cluster_by_month:
+        deduped = files.rebalance_by(deduped, C.order_year_month(C.parse_date("order_date")))
     if stats is not None:
         deduped = deduped.observe(stats, *cleaning.stats_columns())
     return validation.add_flags(
@@ -73,9 +82,9 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         raw, bad = csv_ingest.split_parsed(parsed)
 
     stats_obs = Observation("cleaning")
-    processed = process(raw, margins, aliases, stats_obs)
+    processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
     processed_path = processed_path or scratch_path(spark, "processed")
-    files.write_processed(processed, processed_path, processed_format)
+    files.write_processed(processed, processed_path, processed_format, rebalance=False)
     stats = dict(stats_obs.get)
     log.info("cleaning: %s", stats)
 

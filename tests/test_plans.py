@@ -3,7 +3,9 @@
 from rows import row
 
 from ledgerline.operators import cleaning, reports, transform, validation
-from ledgerline.plans import catalog, sql_reports
+from pyspark.sql import Observation
+
+from ledgerline.plans import catalog, pipeline, sql_reports
 from ledgerline.sinks import files
 
 SF = "/root/testdata/sf0.001"
@@ -60,3 +62,12 @@ def test_reports_prune_processed_table_columns(spark, tmp_path):
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
     assert "ReadSchema: struct<delivery_days:int>" in scan
     assert "PushedFilters: [IsNotNull(delivery_days), GreaterThanOrEqual(delivery_days,0)]" in scan
+
+
+def test_stats_observed_above_the_write_rebalance(spark):
+    """Cleaning statistics are collected in the writing (result) stage: a map
+    stage re-run after a lost executor would count them twice."""
+    p = plan(pipeline.process(catalog.raw(spark, SF), stats=Observation("plan"), cluster_by_month=True))
+    assert "REBALANCE_PARTITIONS_BY_COL" in p
+    assert p.index("CollectMetrics") < p.index("REBALANCE_PARTITIONS_BY_COL")
+    assert p.index("Filter") < p.index("CollectMetrics")   # bad dates are counted, then dropped

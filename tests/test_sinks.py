@@ -18,6 +18,15 @@ def test_processed_roundtrip_partitioned(spark, raw_df, tmp_path):
         "order_year_month=2024-01", "order_year_month=2024-02"}
 
 
+def test_partitioned_write_is_clustered_by_month(spark, raw_df, tmp_path):
+    rows = [row(f"T{i}", od=f"2024-0{i % 2 + 1}-03", dd="2024-03-05") for i in range(40)]
+    df = validated(raw_df, rows).repartition(8)
+    files.write_processed(df, str(tmp_path / "processed"))
+    for month in ["order_year_month=2024-01", "order_year_month=2024-02"]:
+        parts = [f for f in (tmp_path / "processed" / month).iterdir() if f.name.endswith(".parquet")]
+        assert len(parts) == 1, month     # not one file per write task
+
+
 def test_export_reports(spark, raw_df, tmp_path):
     df = validated(raw_df, [row(f"T{i}", cat=["A", "B"][i % 2]) for i in range(6)])
     written = files.export_reports(reports.run_aggregations(df), str(tmp_path / "reports"))

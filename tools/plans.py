@@ -58,8 +58,8 @@ def main() -> None:
              .config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     tmp = tempfile.mkdtemp(prefix="plans-")
-    processed = pipeline.process(fixture.sales_raw(spark, sf), stats=Observation("c"))
-    path = files.write_processed(processed, f"{tmp}/processed")
+    processed = pipeline.process(fixture.sales_raw(spark, sf), stats=Observation("c"), cluster_by_month=True)
+    path = files.write_processed(processed, f"{tmp}/processed", rebalance=False)
     table = spark.read.schema(processed.schema).parquet(path).select(*processed.columns)
     csv = fixture.write_sales_csv(spark, sf, f"{tmp}/csv")
     frames = {
