@@ -28,7 +28,10 @@ NOTES = {
         "nation x region is broadcast (25 rows); part/customer are broadcast only because their "
         "scans are under the threshold at this scale. Dedup: hash aggregate on all 13 columns "
         "(partial before the shuffle), then a sort aggregate on the key with partial_min before "
-        "its shuffle; CollectMetrics gathers the cleaning statistics in the same stage.",
+        "its shuffle. The survivors are then rebalanced by order month (the table's partition "
+        "column; AQE splits a month above the advisory size), so each write task writes few "
+        "month files; CollectMetrics sits above that exchange, in the writing stage, so a re-run "
+        "map stage cannot count the cleaning statistics twice.",
     "revenue by category (over the processed table)":
         "Only 4 columns read; partial hash aggregate before the shuffle; no Expand because order "
         "counting uses COUNT on the deduplicated key.",
