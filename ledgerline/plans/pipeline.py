@@ -1,15 +1,21 @@
 """End-to-end run: ingest -> clean -> transform -> validate -> write -> report.
 
-Passes over the raw data: one. The ingest counts and the cleaning statistics
-are plain aggregates, collected with ``DataFrame.observe`` while the processed
-table is written (observed metrics of the writing stage are merged once per
-partition, so task retries do not double count). Reject lines are written in a
-second scan only when there are any. Every later stage reads the written
-table back, which cuts the lineage: a lost executor costs a re-read of table
-files, not a re-run of the dedup shuffle. Reports read only the columns they
-need from it (parquet column pruning).
+Statistics are plain aggregates collected with ``DataFrame.observe`` in the
+result stage of a write job, where Spark merges each partition's metrics once,
+so retried tasks or a lost executor do not count rows twice:
+
+* CSV input is parsed once and written as a typed staging table split by a
+  malformed flag (scan -> parse -> write, no shuffle); the ingest counts are
+  observed in that job. Reject lines are copied from their staging folder only
+  when there are any.
+* The processed table is written from the staged rows (or a given frame);
+  the cleaning statistics are observed in its writing stage, above the
+  month rebalance.
+
+Each later stage reads the written table back, which cuts the lineage: a lost
+executor costs a re-read of table files, not a re-parse or a re-run of the
+dedup shuffle. Reports read only the columns they need (parquet pruning).
 """
-
 from __future__ import annotations
 
 import logging
@@ -65,21 +71,27 @@ def process(raw: DataFrame,
 def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None = None,
         processed_path: str | None = None, reports_dir: str | None = None,
         rejects_path: str | None = None, processed_format: str = "parquet",
+        staging_path: str | None = None,
         margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
         aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES) -> RunResult:
     """Run every stage. Give either ``raw`` (13 raw columns) or ``csv_path``.
 
-    ``processed_path`` defaults to a fresh folder under the session's shared
+    ``processed_path`` (and, for CSV input, ``staging_path``: the parsed lines
+    as a typed table) default to fresh folders under the session's shared
     ``spark.checkpoint.dir``.
     """
-    ingest_obs = None
+    counts = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
         parsed = csv_ingest.parse_lines(csv_ingest.read_lines(spark, csv_path))
         ingest_obs = Observation("ingest")
-        parsed = parsed.observe(ingest_obs, *csv_ingest.count_columns())
-        raw, bad = csv_ingest.split_parsed(parsed)
+        staging = csv_ingest.write_staged(parsed, staging_path or scratch_path(spark, "staged"), ingest_obs)
+        counts = dict(ingest_obs.get)
+        log.info("ingest: %s", counts)
+        raw, bad = csv_ingest.read_staged(spark, staging)
+        if rejects_path and counts["malformed_records"] > 0:
+            files.write_rejects(bad, rejects_path)
 
     stats_obs = Observation("cleaning")
     processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
@@ -88,13 +100,6 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     stats = dict(stats_obs.get)
     log.info("cleaning: %s", stats)
 
-    counts = None
-    if ingest_obs is not None:
-        counts = dict(ingest_obs.get)
-        log.info("ingest: %s", counts)
-        if rejects_path and counts["malformed_records"] > 0:
-            files.write_rejects(bad, rejects_path)
-
     reader = spark.read.schema(processed.schema)
     if processed_format == "csv":
         reader = reader.option("header", True)

@@ -12,13 +12,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schema import CORRUPT, RAW_COLUMNS, raw_ddl, raw_schema
 
 
+MALFORMED = "_malformed"  # partition column of the staging table
+
+
 @dataclass
 class Ingested:
     """Good rows (13 typed columns), bad lines (raw text) and the one-row counts."""
@@ -66,6 +69,35 @@ def ingest_counts(parsed: DataFrame) -> DataFrame:
     return parsed.agg(*count_columns())
 
 
+def write_staged(parsed: DataFrame, path: str, counts: Observation | None = None) -> str:
+    """Write the parsed lines once as a typed parquet staging table, partitioned
+    by ``_malformed`` (good rows and bad lines in separate folders).
+
+    The job is scan -> parse -> write with no shuffle, so ``counts`` (S6) is
+    observed in its result stage, where Spark merges each partition's metrics
+    once even if tasks or executors are lost. Observed in a map stage that
+    feeds a shuffle (the dedup), a re-run after a lost executor would count
+    lines twice. Later stages read the staging table (lineage cut: a failure
+    costs a parquet re-read, not a CSV re-parse).
+    """
+    if counts is not None:
+        parsed = parsed.observe(counts, *count_columns())
+    flagged = parsed.withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
+    flagged.write.mode("overwrite").partitionBy(MALFORMED).parquet(path)
+    return path
+
+
+def read_staged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of a staging table; each side reads only its own
+    partition folder."""
+    schema = T.StructType(raw_schema().fields + [T.StructField(CORRUPT, T.StringType()),
+                                                 T.StructField(MALFORMED, T.BooleanType())])
+    staged = spark.read.schema(schema).parquet(path)
+    good = staged.filter(~F.col(MALFORMED)).select(*RAW_COLUMNS)
+    bad = staged.filter(F.col(MALFORMED)).select(CORRUPT)
+    return good, bad
+
+
 def ingest_lines(lines: DataFrame, header: str | None = ",".join(RAW_COLUMNS)) -> Ingested:
     parsed = parse_lines(lines, header)
     good, bad = split_parsed(parsed)
@@ -94,4 +126,5 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 __all__ = ["Ingested", "read_lines", "parse_lines", "split_parsed", "ingest_counts",
+           "write_staged", "read_staged",
            "ingest_lines", "ingest_csv", "infer_schema_preview", "read_report_csv", "raw_schema"]

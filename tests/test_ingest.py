@@ -56,3 +56,18 @@ def test_csv_files_and_preview(spark, tmp_path):
     prev = {r["column"]: r["inferred_type"] for r in csv_ingest.infer_schema_preview(spark, p, 1.0).collect()}
     assert list(prev) == RAW_COLUMNS
     assert prev["quantity"] == "string"  # garbage tokens make the column text
+
+
+def test_staged_ingest_counts_in_result_stage(spark, tmp_path):
+    from pyspark.sql import Observation
+    parsed = csv_ingest.parse_lines(lines(spark))
+    assert "Exchange" not in parsed._jdf.queryExecution().executedPlan().toString()  # no map stage
+    obs = Observation("staged")
+    path = csv_ingest.write_staged(parsed, str(tmp_path / "staged"), obs)
+    assert obs.get == {"total_records": 8, "malformed_records": 4, "usable_records": 4}
+    good, bad = csv_ingest.read_staged(spark, path)
+    assert good.columns == RAW_COLUMNS
+    assert sorted(r["transaction_id"] for r in good.collect()) == ["T1", "T6", "T7", "T8"]
+    assert bad.count() == 4
+    good_scan = [x for x in good._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x][0]
+    assert "PartitionFilters: [isnotnull(_malformed" in good_scan   # reads only its own folder
