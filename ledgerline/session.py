@@ -42,8 +42,9 @@ def get_session(app_name: str = "ledgerline", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir``.
 
-    Set only when the session has none (local tests); never a node-local
-    folder on a cluster.
+    A temporary folder is set only for a ``local[...]`` session that has none
+    (tests); on a cluster a node-local folder would be invisible to the other
+    executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,8 +52,11 @@ def shared_dir(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if conf:
             sc.setCheckpointDir(conf)
-        else:
+        elif sc.master.startswith("local"):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+        else:
+            raise RuntimeError("spark.checkpoint.dir is not set: give the session a folder "
+                               "that every executor can reach (e.g. on the cluster file system)")
         d = sc.getCheckpointDir()
     return d
 

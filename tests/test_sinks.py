@@ -60,3 +60,20 @@ def test_session_helpers(spark):
     assert get_session() is spark
     p = scratch_path(spark, "x")
     assert "/ledgerline/x-" in p and p.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+
+
+def test_cluster_session_needs_shared_checkpoint_dir():
+    import pytest
+    from types import SimpleNamespace
+    from ledgerline.session import shared_dir
+
+    class Ctx:
+        master = "yarn"
+        def getCheckpointDir(self):
+            return None
+        def setCheckpointDir(self, d):  # pragma: no cover - must not be reached
+            raise AssertionError(d)
+
+    fake = SimpleNamespace(sparkContext=Ctx(), conf=SimpleNamespace(get=lambda k, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(fake)
