@@ -2,6 +2,7 @@
 
 from decimal import Decimal as D
 
+from ledgerline.operators import validation
 from ledgerline.plans import pipeline
 from ledgerline.sources import fixture
 
@@ -15,6 +16,7 @@ def test_run_from_frame(spark, tmp_path):
     assert s["rows_before_cleaning"] - s["total_rows_removed"] == s["rows_after_cleaning"]
     assert v["total_records_validated"] == s["rows_after_cleaning"]
     assert v["duplicate_transaction_ids_found"] == 0
+    assert v == validation.validation_report(res.processed).first().asDict()   # observed == recomputed
     kpi = res.reports["sales_kpis"].first()
     total = kpi["total_revenue"]
     for name in ["revenue_by_category", "revenue_by_state", "monthly_revenue_trend", "customer_summary"]:
