@@ -31,7 +31,8 @@ NOTES = {
         "its shuffle. The survivors are then rebalanced by order month (the table's partition "
         "column; AQE splits a month above the advisory size), so each write task writes few "
         "month files; CollectMetrics sits above that exchange, in the writing stage, so a re-run "
-        "map stage cannot count the cleaning statistics twice.",
+        "map stage cannot count the cleaning statistics twice. The top CollectMetrics gathers the "
+        "validation counts in the same stage.",
     "revenue by category (over the processed table)":
         "Only 4 columns read; partial hash aggregate before the shuffle; no Expand because order "
         "counting uses COUNT on the deduplicated key.",
@@ -40,7 +41,8 @@ NOTES = {
     "customer summary": "Partial aggregation collapses the guest customer per task; global "
         "range-partitioned sort, written as many files.",
     "top products": "TakeOrderedAndProject: k rows per task reach the driver.",
-    "validation report": "Two flags and the key read; one aggregate.",
+    "validation report": "Two flags and the key read; one aggregate (used for frames not known to be "
+        "deduplicated; the pipeline observes these counts during the write instead).",
     "sql delivery": "Filter pushed into the parquet scan; one column read.",
     "csv routing": "Text scan split by file blocks; from_csv per line; no shuffle.",
 }
@@ -62,6 +64,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     tmp = tempfile.mkdtemp(prefix="plans-")
     processed = pipeline.process(fixture.sales_raw(spark, sf), stats=Observation("c"), cluster_by_month=True)
+    processed = processed.observe(Observation("v"), *validation.report_counts())
     path = files.write_processed(processed, f"{tmp}/processed", rebalance=False)
     table = spark.read.schema(processed.schema).parquet(path).select(*processed.columns)
     csv = fixture.write_sales_csv(spark, sf, f"{tmp}/csv")
