@@ -17,6 +17,7 @@ Each later stage reads the written table back, which cuts the lineage: a lost
 executor costs a re-read of table files, not a re-parse or a re-run of the
 dedup shuffle. Reports read only the columns they need (parquet pruning).
 """
+
 from __future__ import annotations
 
 import logging

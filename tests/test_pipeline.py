@@ -36,3 +36,12 @@ def test_run_from_csv_routes_bad_lines(spark, tmp_path):
     assert c["malformed_records"] > 0
     assert spark.read.text(str(tmp_path / "rejects")).count() == c["malformed_records"]
     assert res.cleaning_stats["rows_before_cleaning"] == c["usable_records"]
+
+
+def test_run_on_empty_input(spark, tmp_path):
+    from ledgerline.schema import raw_schema
+    res = pipeline.run(spark, raw=spark.createDataFrame([], raw_schema()), processed_path=str(tmp_path / "p"),
+                       reports_dir=str(tmp_path / "r"))
+    assert res.cleaning_stats["rows_after_cleaning"] == 0
+    assert res.validation_report["pct_revenue_consistent"] is None
+    assert res.reports["sales_kpis"].first()["total_revenue"] is None
