@@ -57,12 +57,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_string(v: str) -> str:
+    """A Spark SQL string literal for ``v`` (quotes and backslashes escaped)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(mapping: Mapping[str, str], key: Column | str, value_type: str = "string") -> Column:
-    """Literal map lookup; a missing key gives NULL. Constant-folded by Catalyst."""
-    pairs = []
-    for k, v in mapping.items():
-        pairs += [F.lit(k), F.lit(v).cast(value_type)]
-    return F.try_element_at(F.create_map(*pairs), _col(key))
+    """Literal map lookup; a missing key gives NULL. Constant-folded by Catalyst.
+
+    The map is one SQL expression (a single JVM call) rather than a Column per
+    key and value; the plan is the same."""
+    pairs = ", ".join(f"{sql_string(k)}, CAST({sql_string(v)} AS {value_type})" for k, v in mapping.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), _col(key))
 
 
 def parse_date(c: Column | str) -> Column:

@@ -66,14 +66,16 @@ def deduplicate(df: DataFrame, key: str = KEY, keep_counts: bool = False) -> Dat
     others = [c for c in cols if c != key]
     distinct_rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES))
     per_key = distinct_rows.groupBy(key).agg(
-        F.min(F.struct(*others)).alias("_keep"),
+        F.expr(f"min(struct({', '.join(_q(c) for c in others)}))").alias("_keep"),
         F.count(F.lit(1)).alias(VARIANTS),
         F.sum(COPIES).alias(COPIES),
     )
-    out = [F.col(key)] + [F.col(f"_keep.{c}").alias(c) for c in others]
-    if keep_counts:
-        out += [F.col(VARIANTS), F.col(COPIES)]
-    return per_key.select(*out).select(*cols, *([VARIANTS, COPIES] if keep_counts else []))
+    out = [_q(c) if c == key else f"_keep.{_q(c)} AS {_q(c)}" for c in cols]
+    return per_key.selectExpr(*out, *([VARIANTS, COPIES] if keep_counts else []))
+
+
+def _q(c: str) -> str:
+    return f"`{c}`"
 
 
 def drop_duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -105,7 +107,18 @@ def parse_dates(df: DataFrame, drop_invalid: bool = True) -> DataFrame:
 
 
 def _clean_columns(df: DataFrame) -> DataFrame:
-    return parse_dates(correct_quantity(impute_defaults(df)))
+    """I1-I6 + F7 in one projection and one filter (same result as
+    ``parse_dates(correct_quantity(impute_defaults(df)))``)."""
+    out = df.withColumns({
+        "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
+        "payment_method": F.coalesce(F.col("payment_method"), F.lit(NO_PAYMENT_METHOD)),
+        "category": F.coalesce(F.col("category"), F.lit(NO_CATEGORY)),
+        "city": F.coalesce(F.col("city"), F.lit(NO_CITY)),
+        "quantity": abs_quantity("quantity"),
+        "order_date": parse_date("order_date"),
+        "delivery_date": parse_date("delivery_date"),
+    })
+    return out.filter(F.col("order_date").isNotNull())
 
 
 def stats_columns() -> list[Column]:
@@ -152,6 +165,11 @@ def clean_data(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     return clean_deduped(deduped), cleaning_stats(deduped)
 
 
+def clean(df: DataFrame, key: str = KEY) -> DataFrame:
+    """The cleaned frame alone (J1, J2, I1-I6, F7), without the statistics."""
+    return _clean_columns(deduplicate(df, key))
+
+
 def clean_deduped(deduped_with_counts: DataFrame) -> DataFrame:
     """Cleaning after deduplication: drops the count columns, imputes, fixes."""
     return _clean_columns(deduped_with_counts.drop(VARIANTS, COPIES))

@@ -34,7 +34,7 @@ def deduped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean_data(raw(spark, sf))[0]
+    return cleaning.clean(raw(spark, sf))
 
 
 def derived(spark: SparkSession, sf: str) -> DataFrame:
