@@ -77,3 +77,19 @@ def test_cluster_session_needs_shared_checkpoint_dir():
     fake = SimpleNamespace(sparkContext=Ctx(), conf=SimpleNamespace(get=lambda k, default=None: default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(fake)
+
+
+def test_hot_month_is_split_across_write_tasks(spark, raw_df, tmp_path):
+    """One month holding every row: AQE splits the rebalance partition into
+    advisory-sized pieces, so the month is written by several tasks."""
+    rows = [row(f"T{i:05d}", cust=f"C{i % 97}", od="2024-05-03", dd="2024-05-09") for i in range(4000)]
+    df = validated(raw_df, rows).repartition(8)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        files.write_processed(df, str(tmp_path / "processed"))
+    finally:
+        spark.conf.set(key, old)
+    parts = [f for f in (tmp_path / "processed" / "order_year_month=2024-05").iterdir() if f.name.endswith(".parquet")]
+    assert 1 < len(parts) <= 8
