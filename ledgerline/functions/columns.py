@@ -67,6 +67,8 @@ def lookup(mapping: Mapping[str, str], key: Column | str, value_type: str = "str
 
     The map is one SQL expression (a single JVM call) rather than a Column per
     key and value; the plan is the same."""
+    if not mapping:
+        return F.lit(None).cast(value_type)
     pairs = ", ".join(f"{sql_string(k)}, CAST({sql_string(v)} AS {value_type})" for k, v in mapping.items())
     return F.try_element_at(F.expr(f"map({pairs})"), _col(key))
 

@@ -42,6 +42,9 @@ def test_custom_tables(raw_df):
                   margins={"Garden": "0.50"}, aliases={"Poona": "Pune"})
     r = out.first()
     assert (r["category"], r["profit_margin"], r["city"]) == ("Garden", D("0.50"), "Pune")
+    r = derived(raw_df, [row("T1", cat="Kid's toys", city="bombay")],
+                margins={"Kid's Toys": "0.33"}, aliases={}).first()
+    assert (r["category"], r["profit_margin"], r["city"]) == ("Kid's Toys", D("0.33"), "Bombay")
 
 
 def test_clean_transform_idempotent_on_text(raw_df):
