@@ -30,7 +30,7 @@ from ledgerline.functions import columns as C
 from ledgerline.operators import cleaning, reports, transform, validation
 from ledgerline.plans import sql_reports
 from ledgerline.session import scratch_path
-from ledgerline.sinks import files
+from ledgerline.sinks import files, jdbc
 from ledgerline.sources import csv_ingest
 
 log = logging.getLogger("ledgerline.pipeline")
@@ -75,12 +75,15 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         rejects_path: str | None = None, processed_format: str = "parquet",
         staging_path: str | None = None,
         margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
-        aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES) -> RunResult:
+        aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
+        jdbc_load: Mapping[str, object] | None = None) -> RunResult:
     """Run every stage. Give either ``raw`` (13 raw columns) or ``csv_path``.
 
     ``processed_path`` (and, for CSV input, ``staging_path``: the parsed lines
     as a typed table) default to fresh folders under the session's shared
-    ``spark.checkpoint.dir``.
+    ``spark.checkpoint.dir``. ``jdbc_load`` (keyword arguments of
+    ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
+    warehouse load of the processed table, the job's last step.
     """
     counts = None
     if raw is None:
@@ -117,4 +120,7 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
                        reports.run_aggregations(table), sql_reports.run_all(spark, table))
     if reports_dir:
         result.exported = files.export_reports(result.reports, reports_dir)
+    if jdbc_load is not None:
+        jdbc.write_jdbc(table, **jdbc_load)
+        log.info("loaded the processed table into %s", jdbc_load.get("table"))
     return result

@@ -45,3 +45,25 @@ def test_run_on_empty_input(spark, tmp_path):
     assert res.cleaning_stats["rows_after_cleaning"] == 0
     assert res.validation_report["pct_revenue_consistent"] is None
     assert res.reports["sales_kpis"].first()["total_revenue"] is None
+
+
+def test_command_line_job(spark, tmp_path, monkeypatch):
+    from ledgerline.__main__ import main
+    monkeypatch.delenv("LOAD_TO_MYSQL", raising=False)
+    csv = fixture.write_sales_csv(spark, SF, str(tmp_path / "csv"))
+    out = main(["--csv", csv, "--processed", str(tmp_path / "p"), "--reports", str(tmp_path / "r"),
+                "--rejects", str(tmp_path / "rej"), "--staging", str(tmp_path / "staged")])
+    assert out["ingest"]["malformed_records"] > 0
+    assert out["validation"]["total_records_validated"] == out["cleaning"]["rows_after_cleaning"]
+    assert out["sales_kpis"]["total_orders"] == out["cleaning"]["rows_after_cleaning"]
+    assert set(out["exported"]) >= {"kpi_summary", "customer_summary"}
+    assert spark.sparkContext._jsc is not None   # the caller's session is left running
+
+
+def test_jdbc_load_step_gets_the_processed_table(spark, tmp_path, monkeypatch):
+    from ledgerline.plans import pipeline as P
+    seen = {}
+    monkeypatch.setattr(P.jdbc, "write_jdbc", lambda df, **kw: seen.update(cols=df.columns, **kw))
+    P.run(spark, raw=fixture.sales_raw(spark, SF), processed_path=str(tmp_path / "p"),
+          jdbc_load={"url": "jdbc:mysql://db.example:3306/x", "table": "retail_sales_processed"})
+    assert seen["table"] == "retail_sales_processed" and "revenue" in seen["cols"]
