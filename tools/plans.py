@@ -57,6 +57,26 @@ def short(plan: str, width: int = 150) -> str:
     return "\n".join(out)
 
 
+def scan_details(df) -> list[str]:
+    """Scan nodes of the formatted plan with what reaches the reader: columns
+    read, pushed filters, partition filters."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    out, current = [], None
+    for line in text.splitlines():
+        if re.match(r"^\(\d+\) Scan ", line):
+            current = [re.sub(r"^\(\d+\) ", "", line).strip()]
+            out.append(current)
+        elif current is not None and line.startswith("Location:"):
+            m = re.search(r"([^/\[\]]+?)/?\]", line)
+            current[0] += f" {m.group(1)}" if m else ""
+        elif current is not None and line.startswith(("ReadSchema:", "PushedFilters:", "PartitionFilters:")):
+            current.append("  " + re.sub(r"#\d+L?", "", line.strip()))
+        elif not line.strip():
+            current = None
+    return [x for block in out for x in block]
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "16")
@@ -85,7 +105,8 @@ def main() -> None:
              "are stripped, long lines cut.", ""]
     for title, df in frames.items():
         plan = df._jdf.queryExecution().executedPlan().toString()
-        lines += [f"## {title}", "", NOTES[title], "", "```", short(plan), "```", ""]
+        lines += [f"## {title}", "", NOTES[title], "", "```", short(plan), "```", "",
+                  "Scans (from `explain(\"formatted\")`):", "", "```", *scan_details(df), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md"), "w") as f:
         f.write("\n".join(lines))
     spark.stop()
