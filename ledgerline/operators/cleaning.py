@@ -83,14 +83,22 @@ def drop_duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
     return deduplicate(df, key)
 
 
-def impute_defaults(df: DataFrame) -> DataFrame:
-    """NULL-only placeholders; rows are kept so their revenue counts."""
-    return df.withColumns({
+def _imputed() -> dict[str, Column]:
+    return {
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
         "payment_method": F.coalesce(F.col("payment_method"), F.lit(NO_PAYMENT_METHOD)),
         "category": F.coalesce(F.col("category"), F.lit(NO_CATEGORY)),
         "city": F.coalesce(F.col("city"), F.lit(NO_CITY)),
-    })
+    }
+
+
+def _parsed_dates() -> dict[str, Column]:
+    return {"order_date": parse_date("order_date"), "delivery_date": parse_date("delivery_date")}
+
+
+def impute_defaults(df: DataFrame) -> DataFrame:
+    """NULL-only placeholders; rows are kept so their revenue counts."""
+    return df.withColumns(_imputed())
 
 
 def correct_quantity(df: DataFrame) -> DataFrame:
@@ -101,23 +109,14 @@ def correct_quantity(df: DataFrame) -> DataFrame:
 def parse_dates(df: DataFrame, drop_invalid: bool = True) -> DataFrame:
     """I6 + F7: text dates to DATE (bad text -> NULL); rows whose order date does
     not parse are dropped, an unparseable delivery date just stays NULL."""
-    out = df.withColumns({"order_date": parse_date("order_date"),
-                          "delivery_date": parse_date("delivery_date")})
+    out = df.withColumns(_parsed_dates())
     return out.filter(F.col("order_date").isNotNull()) if drop_invalid else out
 
 
 def _clean_columns(df: DataFrame) -> DataFrame:
     """I1-I6 + F7 in one projection and one filter (same result as
     ``parse_dates(correct_quantity(impute_defaults(df)))``)."""
-    out = df.withColumns({
-        "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
-        "payment_method": F.coalesce(F.col("payment_method"), F.lit(NO_PAYMENT_METHOD)),
-        "category": F.coalesce(F.col("category"), F.lit(NO_CATEGORY)),
-        "city": F.coalesce(F.col("city"), F.lit(NO_CITY)),
-        "quantity": abs_quantity("quantity"),
-        "order_date": parse_date("order_date"),
-        "delivery_date": parse_date("delivery_date"),
-    })
+    out = df.withColumns({**_imputed(), "quantity": abs_quantity("quantity"), **_parsed_dates()})
     return out.filter(F.col("order_date").isNotNull())
 
 
