@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ledgerline.functions import columns as C
 from ledgerline.operators import cleaning, reports, transform, validation
 from ledgerline.plans import sql_reports
-from ledgerline.session import scratch_path
+from ledgerline.session import remove_path, scratch_path
 from ledgerline.sinks import files, jdbc
 from ledgerline.sources import csv_ingest
 
@@ -81,17 +81,21 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
 
     ``processed_path`` (and, for CSV input, ``staging_path``: the parsed lines
     as a typed table) default to fresh folders under the session's shared
-    ``spark.checkpoint.dir``. ``jdbc_load`` (keyword arguments of
+    ``spark.checkpoint.dir``; a default staging folder is deleted once the
+    processed table is written. ``jdbc_load`` (keyword arguments of
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
     counts = None
+    scratch_staging = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
         parsed = csv_ingest.parse_lines(csv_ingest.read_lines(spark, csv_path))
         ingest_obs = Observation("ingest")
-        staging = csv_ingest.write_staged(parsed, staging_path or scratch_path(spark, "staged"), ingest_obs)
+        if staging_path is None:
+            scratch_staging = staging_path = scratch_path(spark, "staged")
+        staging = csv_ingest.write_staged(parsed, staging_path, ingest_obs)
         counts = dict(ingest_obs.get)
         log.info("ingest: %s", counts)
         raw, bad = csv_ingest.read_staged(spark, staging)
@@ -111,6 +115,11 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     report = validation.report_from_counts(dict(checks_obs.get), duplicate_ids=0)
     log.info("validation: %s", report)
 
+    if scratch_staging is not None:
+        # Nothing reads the staged lines once the processed table and the
+        # rejects are written; a staging folder the caller named is kept.
+        remove_path(spark, scratch_staging)
+
     reader = spark.read.schema(processed.schema)
     if processed_format == "csv":
         reader = reader.option("header", True)

@@ -64,3 +64,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return f"{shared_dir(spark).rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the Hadoop file system of its URI (any scheme the
+    cluster is configured for). Used only for scratch output this library
+    created itself."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))

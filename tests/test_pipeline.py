@@ -67,3 +67,25 @@ def test_jdbc_load_step_gets_the_processed_table(spark, tmp_path, monkeypatch):
     P.run(spark, raw=fixture.sales_raw(spark, SF), processed_path=str(tmp_path / "p"),
           jdbc_load={"url": "jdbc:mysql://db.example:3306/x", "table": "retail_sales_processed"})
     assert seen["table"] == "retail_sales_processed" and "revenue" in seen["cols"]
+
+
+def test_default_staging_folder_is_removed(spark, tmp_path, monkeypatch):
+    import os
+    from ledgerline.plans import pipeline as P
+    removed = []
+    real = P.remove_path
+
+    def spy(session, path):
+        local = path.removeprefix("file:")
+        removed.append((local, os.path.isdir(local)))
+        return real(session, path)
+
+    monkeypatch.setattr(P, "remove_path", spy)
+    csv = fixture.write_sales_csv(spark, SF, str(tmp_path / "csv"))
+    res = P.run(spark, csv_path=csv, processed_path=str(tmp_path / "p"))
+    [(path, existed)] = removed
+    assert "/staged-" in path and existed and not os.path.exists(path)
+    assert res.processed.count() == res.cleaning_stats["rows_after_cleaning"]   # table intact
+    removed.clear()
+    P.run(spark, csv_path=csv, processed_path=str(tmp_path / "p2"), staging_path=str(tmp_path / "keep"))
+    assert not removed and (tmp_path / "keep").is_dir()                        # named folder kept
