@@ -7,6 +7,8 @@ Stages (each a function from DataFrame to DataFrame, all lazy):
 * ``functions`` column expressions shared by the DataFrame and SQL paths
 * ``plans``     the SQL report set and the end-to-end ``run``
 * ``sinks``     files and JDBC
+
+``python -m ledgerline`` runs the whole job from the command line.
 """
 
 __version__ = "0.1.0"
