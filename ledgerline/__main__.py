@@ -1,7 +1,7 @@
 """The batch job from the command line (the source job's ``main``):
 
     python -m ledgerline --csv RAW --processed DIR --reports DIR [--rejects DIR]
-                         [--staging DIR] [--load-jdbc] [--jdbc-table NAME]
+                         [--staging DIR | --no-staging] [--load-jdbc] [--jdbc-table NAME]
 
 ingest -> clean -> transform -> validate -> processed table -> reports, then
 the optional warehouse load (also switched on by ``LOAD_TO_MYSQL=true``; the
@@ -35,6 +35,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--reports", required=True, help="output folder of the report CSVs")
     p.add_argument("--rejects", help="output folder of malformed lines (written only if any)")
     p.add_argument("--staging", help="folder of the typed staging table (default: shared checkpoint folder)")
+    p.add_argument("--no-staging", action="store_true",
+                   help="skip the typed staging table (one write fewer; ingest counts not exact if a stage re-runs)")
     p.add_argument("--load-jdbc", action="store_true",
                    default=os.environ.get("LOAD_TO_MYSQL", "false").strip().lower() == "true")
     p.add_argument("--jdbc-table", default="retail_sales_processed")
@@ -55,7 +57,7 @@ def main(argv: list[str] | None = None) -> dict:
                     "user": conn["user"], "password": conn["password"]}
         res = pipeline.run(spark, csv_path=args.csv, processed_path=args.processed,
                            reports_dir=args.reports, rejects_path=args.rejects,
-                           staging_path=args.staging, jdbc_load=load)
+                           staging_path=args.staging, stage_ingest=not args.no_staging, jdbc_load=load)
         summary = {
             "ingest": res.ingest_counts,
             "cleaning": res.cleaning_stats,

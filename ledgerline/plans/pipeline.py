@@ -73,7 +73,7 @@ def process(raw: DataFrame,
 def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None = None,
         processed_path: str | None = None, reports_dir: str | None = None,
         rejects_path: str | None = None, processed_format: str = "parquet",
-        staging_path: str | None = None,
+        staging_path: str | None = None, stage_ingest: bool = True,
         margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
         aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
         jdbc_load: Mapping[str, object] | None = None) -> RunResult:
@@ -82,25 +82,32 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     ``processed_path`` (and, for CSV input, ``staging_path``: the parsed lines
     as a typed table) default to fresh folders under the session's shared
     ``spark.checkpoint.dir``; a default staging folder is deleted once the
-    processed table is written. ``jdbc_load`` (keyword arguments of
+    processed table is written. ``stage_ingest=False`` skips the staging
+    table (one write and read of the input fewer): the processed table is then
+    built straight from the parsed lines and the ingest counts are observed in
+    the dedup's map stage, so a stage re-run after a lost executor can count
+    lines twice, and a re-run re-parses CSV. ``jdbc_load`` (keyword arguments of
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
     counts = None
     scratch_staging = None
+    ingest_obs = bad = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
         parsed = csv_ingest.parse_lines(csv_ingest.read_lines(spark, csv_path))
         ingest_obs = Observation("ingest")
-        if staging_path is None:
-            scratch_staging = staging_path = scratch_path(spark, "staged")
-        staging = csv_ingest.write_staged(parsed, staging_path, ingest_obs)
-        counts = dict(ingest_obs.get)
-        log.info("ingest: %s", counts)
-        raw, bad = csv_ingest.read_staged(spark, staging)
-        if rejects_path and counts["malformed_records"] > 0:
-            files.write_rejects(bad, rejects_path)
+        if stage_ingest:
+            if staging_path is None:
+                scratch_staging = staging_path = scratch_path(spark, "staged")
+            staging = csv_ingest.write_staged(parsed, staging_path, ingest_obs)
+            counts = dict(ingest_obs.get)
+            raw, bad = csv_ingest.read_staged(spark, staging)
+        else:
+            # One pass fewer: the counts are observed in the map stage of the
+            # dedup shuffle and are exact unless that stage re-runs.
+            raw, bad = csv_ingest.split_parsed(parsed.observe(ingest_obs, *csv_ingest.count_columns()))
 
     stats_obs, checks_obs = Observation("cleaning"), Observation("validation")
     processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
@@ -115,6 +122,12 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     report = validation.report_from_counts(dict(checks_obs.get), duplicate_ids=0)
     log.info("validation: %s", report)
 
+    if ingest_obs is not None:
+        counts = counts or dict(ingest_obs.get)
+        log.info("ingest: %s", counts)
+        if rejects_path and counts["malformed_records"] > 0:
+            files.write_rejects(bad, rejects_path)
+
     if scratch_staging is not None:
         # Nothing reads the staged lines once the processed table and the
         # rejects are written; a staging folder the caller named is kept.

@@ -89,3 +89,16 @@ def test_default_staging_folder_is_removed(spark, tmp_path, monkeypatch):
     removed.clear()
     P.run(spark, csv_path=csv, processed_path=str(tmp_path / "p2"), staging_path=str(tmp_path / "keep"))
     assert not removed and (tmp_path / "keep").is_dir()                        # named folder kept
+
+
+def test_unstaged_ingest_gives_the_same_results(spark, tmp_path):
+    csv = fixture.write_sales_csv(spark, SF, str(tmp_path / "csv"))
+    staged = pipeline.run(spark, csv_path=csv, processed_path=str(tmp_path / "p1"),
+                          rejects_path=str(tmp_path / "rej1"))
+    direct = pipeline.run(spark, csv_path=csv, processed_path=str(tmp_path / "p2"),
+                          rejects_path=str(tmp_path / "rej2"), stage_ingest=False)
+    assert direct.ingest_counts == staged.ingest_counts
+    assert direct.cleaning_stats == staged.cleaning_stats
+    assert direct.validation_report == staged.validation_report
+    assert (spark.read.text(str(tmp_path / "rej2")).count()
+            == spark.read.text(str(tmp_path / "rej1")).count() == staged.ingest_counts["malformed_records"])
