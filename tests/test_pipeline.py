@@ -102,3 +102,12 @@ def test_unstaged_ingest_gives_the_same_results(spark, tmp_path):
     assert direct.validation_report == staged.validation_report
     assert (spark.read.text(str(tmp_path / "rej2")).count()
             == spark.read.text(str(tmp_path / "rej1")).count() == staged.ingest_counts["malformed_records"])
+
+
+def test_processed_table_as_csv(spark, tmp_path):
+    parquet = pipeline.run(spark, raw=fixture.sales_raw(spark, SF), processed_path=str(tmp_path / "pq"))
+    csv = pipeline.run(spark, raw=fixture.sales_raw(spark, SF), processed_path=str(tmp_path / "csv"),
+                       processed_format="csv")
+    assert csv.processed.schema == parquet.processed.schema
+    assert sorted(csv.processed.collect()) == sorted(parquet.processed.collect())
+    assert csv.reports["revenue_by_state"].collect() == parquet.reports["revenue_by_state"].collect()
