@@ -13,6 +13,19 @@ from pyspark.sql import DataFrame
 
 from ledgerline.schema import INTERNAL_COLUMNS
 
+# --- Fixed values: text column widths of the source job's warehouse table. ----
+WAREHOUSE_TEXT_WIDTHS = {
+    "transaction_id": 20,
+    "customer_id": 20,
+    "product_id": 20,
+    "category": 50,
+    "city": 50,
+    "state": 50,
+    "payment_method": 30,
+    "order_year_month": 7,
+}
+# --- end of fixed values -------------------------------------------------------
+
 DEFAULT_CONNECTION = {
     "host": "localhost",
     "port": "3306",
@@ -38,6 +51,19 @@ def warehouse_frame(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in INTERNAL_COLUMNS if c in df.columns])
 
 
+def jdbc_options(columns: list[str], url: str, table: str, user: str | None = None,
+                 password: str | None = None, driver: str | None = None,
+                 truncate: bool = True, batch_size: int = 10000) -> dict[str, str]:
+    """Writer options of K5. ``createTableColumnTypes`` gives the text columns
+    their warehouse widths whenever Spark has to create the table (decimals
+    already map to the same DECIMAL types)."""
+    widths = ", ".join(f"{c} VARCHAR({n})" for c, n in WAREHOUSE_TEXT_WIDTHS.items() if c in columns)
+    opts = {"url": url, "dbtable": table, "truncate": str(truncate).lower(),
+            "batchsize": str(batch_size), "createTableColumnTypes": widths,
+            "user": user, "password": password, "driver": driver}
+    return {k: v for k, v in opts.items() if v}
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
                password: str | None = None, driver: str | None = None,
                truncate: bool = True, num_partitions: int | None = None,
@@ -48,11 +74,5 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
     out = warehouse_frame(df)
     if num_partitions:
         out = out.coalesce(num_partitions)
-    w = (out.write.format("jdbc").mode("overwrite")
-         .option("url", url).option("dbtable", table)
-         .option("truncate", str(truncate).lower())
-         .option("batchsize", batch_size))
-    for k, v in {"user": user, "password": password, "driver": driver}.items():
-        if v is not None:
-            w = w.option(k, v)
-    w.save()
+    opts = jdbc_options(out.columns, url, table, user, password, driver, truncate, batch_size)
+    out.write.format("jdbc").mode("overwrite").options(**opts).save()

@@ -52,7 +52,13 @@ def test_jdbc_options_and_columns(raw_df, monkeypatch):
     assert conn["host"] == "db.example" and conn["port"] == "3306"
     assert jdbc.mysql_url(conn).startswith("jdbc:mysql://db.example:3306/retail_sales_db")
     df = validated(raw_df, [row("T1")])
-    assert len(jdbc.warehouse_frame(df).columns) == 19
+    cols = jdbc.warehouse_frame(df).columns
+    assert len(cols) == 19
+    opts = jdbc.jdbc_options(cols, jdbc.mysql_url(conn), "retail_sales_processed", user="u")
+    assert opts["truncate"] == "true" and opts["user"] == "u" and "password" not in opts
+    assert opts["createTableColumnTypes"].startswith("transaction_id VARCHAR(20), customer_id VARCHAR(20)")
+    assert "order_year_month VARCHAR(7)" in opts["createTableColumnTypes"]
+    assert "city" not in jdbc.jdbc_options(["transaction_id"], "u", "t")["createTableColumnTypes"]
 
 
 def test_session_helpers(spark):
