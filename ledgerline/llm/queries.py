@@ -4,15 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_events, decontaminate, mixing, warc
+from ledgerline.llm import (chat_events, decontaminate, language, mixing, ngram_lm, quality, rules, simhash,
+                            token_files, warc)
 from ledgerline.llm import common as C
+from ledgerline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return C.table(spark, sf, "documents")
+
+
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridge fit on the labelled rows of remainder 0, calibration on those of 2."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    features = C.written(docs.select("doc_id", quality.statistics_of("text").alias("x")), "quality-statistics")
+    rest = C.id_bucket("doc_id", 3)
+    labels = (C.table(spark, sf, "labels").filter(rest != 1)
+              .select("doc_id", F.col("quality").alias("y"), (rest == 2).alias("calibrate")))
+    model = quality.fit(features, labels)
+    found = features.select("doc_id", (rest == 1).alias("held_out"), quality.scores(features, model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = token_files.write(documents(spark, sf), scratch_path(spark, "token-files"),
+                             public_tokenizers.path("byte_bpe_50k.json"))
+    return token_rows(spark, path)
+
+
+def token_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What the files of ``path`` hold, per document."""
+    sums = token_files.read_tokens(spark, path).select("row_no", token_files.ids_crc32("tokens").alias("ids_crc32"))
+    return (token_files.read_index(spark, path).join(sums, "row_no")
+            .select("doc_id", "start", "n_tokens", "ids_crc32"))
+
+
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    held_out = C.id_bucket("doc_id", 4) == 2
+    model = language.train(docs.filter(~held_out))
+    return (docs.select("doc_id", held_out.alias("held_out"), language.predict(docs, model).alias("found"))
+            .select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")))
+
+
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.components(documents(spark, sf).select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return (docs.select("doc_id", rules.judge(docs).alias("r"))
+            .select("doc_id", "r.n_words", "r.word_chars", "r.n_symbols", "r.n_dup_lines", "r.n_repeat_words",
+                    "r.base_failed", "r.kept"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    held_out = C.id_bucket("doc_id", 5) == 1
+    found = ngram_lm.score(docs, ~held_out, held_out.cast("int"))
+    return found.select("doc_id", (F.col("tag") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def capture_log(pages: DataFrame) -> DataFrame:
     """A crawl log over ``pages``: each page is a full response, later revisited (and
     some also before) by a 304 whose URL spelling, validators and fields vary by
@@ -84,8 +144,14 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_token_files": op2_token_files,
+    "op3_language": op3_language,
+    "op4_simhash": op4_simhash,
+    "op5_quality_rules": op5_quality_rules,
     "op6_warc_revisits": op6_warc_revisits,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }
