@@ -243,7 +243,8 @@ def forest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def links(cells: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b), a < b: links between classes that span what is linked within each cell."""
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(x ^ y) <= max_bits
+        # unsigned: of a negative number the bits of its absolute value would be counted
+        return np.bitwise_count((x ^ y).view(np.uint64)) <= max_bits
 
     def verified(key: np.ndarray, side: np.ndarray, prints: np.ndarray, reps: np.ndarray) -> pa.RecordBatch:
         """``key``: of whole cells, ascending."""
