@@ -77,11 +77,13 @@ def fold(events: DataFrame) -> DataFrame:
     """Final messages: conv_id, turn, copy, role, text."""
     message = ["conv_id", "turn", "copy"]
     resets = F.when(F.col("kind").isin("start", "edit", "regenerate"), F.col("seq"))
-    live = (events.withColumn("from", F.max(resets).over(Window.partitionBy(*message)))
+    whole = Window.partitionBy(*message)
+    role = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).over(whole)
+    live = (events.withColumns({"from": F.max(resets).over(whole), "said_by": role})
             .filter(F.col("from").isNull() | (F.col("seq") >= F.col("from"))))
     pieces = F.array_sort(F.collect_set(F.struct("seq", C.text_or_empty().alias("text"))))
     return (live.groupBy(*message)
-            .agg(F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"), pieces.alias("pieces"))
+            .agg(F.max("said_by").alias("role"), pieces.alias("pieces"))
             .select(*message, F.coalesce("role", F.lit("")).alias("role"),
                     F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text")))
 
