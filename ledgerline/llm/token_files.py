@@ -22,7 +22,9 @@ without rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import array
 import functools
+import json
 import os
 import re
 import zlib
@@ -40,7 +42,9 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
-CACHE = 1_000_000
+CACHE = 1_000_000   # pieces remembered by a Python worker
+STEP = 100          # documents encoded together
+JOINED = 256        # pieces encoded in one call
 
 WRITE_OPTIONS = {
     "compression": "zstd",
@@ -52,13 +56,12 @@ WRITE_OPTIONS = {
     **{f"parquet.enable.dictionary#{c}": "false" for c in ("row_no", "doc_id", "n_tokens", "start")},
 }
 
-# --- Fixed values: the white space of Unicode (what the tokenizer's ``\s`` matches),
-# and Latin letters, whose runs always end a pre-token.
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# --- Fixed values: the white space of Unicode (what the tokenizer's ``\s`` matches) other
+# than single spaces and line feeds, and Latin letters, whose runs always end a pre-token.
+ODD_WHITE = ("  ", "\n\n", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
+                                                  0x2029, 0x202F, 0x205F, 0x3000)))
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 # --- end of fixed values
-ODD_WHITE = re.compile("[\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|[ \\n][ \\n]")
-PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 MARKS_AT_END = re.compile(f"(.*[{LATIN}])([!-/:-@\\[-`{{-~]+)", re.S)
 
 
@@ -67,49 +70,65 @@ class Encoder:
 
     Pre-tokens never reach from a character that isn't white space into white
     space, nor out of a run of letters into punctuation, so a text can be cut
-    there and the pieces encoded one by one, each distinct piece once."""
+    there. Each distinct piece is encoded once, new ones many at a time."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.bare: dict[str, bytes] = {}
-        encoder = self
-
-        class AfterSpace(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= CACHE:
-                    self.clear()
-                self[piece] = ids = encoder.piece(piece if piece[:1] == "\n" else " " + piece)
-                return ids
-        self.after_space = AfterSpace()
-
-    def encode(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        cut = MARKS_AT_END.fullmatch(piece)
-        return b"".join(map(self.remembered, cut.groups() if cut else (piece,)))
-
-    def remembered(self, piece: str) -> bytes:
-        ids = self.bare.get(piece)
-        if ids is None:
-            if len(self.bare) >= CACHE:
-                self.bare.clear()
-            self.bare[piece] = ids = self.encode(piece)
-        return ids
-
-    def __call__(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if text[0] in " \n" or text[-1] == " " or ODD_WHITE.search(text):
-            return b"".join(map(self.piece, PIECES.findall(text)))
-        # only single spaces and line feeds: every piece but the first follows one of them
-        pieces = text.replace("\n", " \n").split(" ")
-        return self.piece(pieces[0]) + b"".join(map(self.after_space.__getitem__, pieces[1:]))
+        self.memory = memory
+        self.known: dict[str, bytes] = {}  # ids of a piece after a space (a line feed stands for itself)
+        parts = json.loads(self.tokenizer.to_str())
+        before = parts["pre_tokenizer"] or {}
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0]
+        # what holds for cuts holds for byte-level pre-tokens of unchanged text; else texts are encoded whole
+        self.cuts = (parts["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
+                     and not before["add_prefix_space"] and len(feed) == 1)
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array.array("I", e.ids).tobytes() for e in found]
+
+    def encode_joined(self, pieces: list[str]) -> list[bytes]:
+        """Pieces without line feeds, many in one call: a line feed between two pieces is
+        a token of its own."""
+        out = []
+        for ids in self.encode(["\n".join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)]):
+            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.feed) * 4).tolist()
+            out += [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])]
+        return out
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode pieces that aren't known; marks after a word are encoded by themselves."""
+        cuts = {p: cut.groups() for p in pieces if (cut := MARKS_AT_END.fullmatch(p))}
+        plain = {p for p in pieces if p not in cuts} | {word for word, _ in cuts.values() if word not in self.known}
+        fed = [p for p in plain if p[0] == "\n"]
+        spaced = [p for p in plain if p[0] != "\n"]
+        marks = list({m for _, m in cuts.values()})
+        self.known.update(zip(fed, self.encode(fed)))
+        self.known.update(zip(spaced, self.encode_joined([" " + p for p in spaced])))
+        of_mark = dict(zip(marks, self.encode_joined(marks)))
+        self.known.update((p, self.known[word] + of_mark[mark]) for p, (word, mark) in cuts.items())
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        if len(self.known) > self.memory:
+            self.known.clear()
+        firsts, rests, new = [], [], set()
+        for text in texts:
+            if not self.cuts or not text or text[0] in " \n" or text[-1] == " " or any(x in text for x in ODD_WHITE):
+                first, rest = text, []  # whole, as it is
+            else:  # only single spaces and line feeds: every piece but the first follows one of them
+                first, *rest = text.replace("\n", " \n").split(" ")
+            new.update(set(rest).difference(self.known))
+            firsts.append(first)
+            rests.append(rest)
+        if new:
+            self.learn(new)
+        return [first + b"".join(map(self.known.__getitem__, rest)) for first, rest in zip(self.encode(firsts), rests)]
 
 
 @functools.cache
@@ -124,9 +143,10 @@ def token_lists(path: str, end_id: int = END_ID, text: str = "text") -> Column:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            ids = [encoder(path)(t.as_py() or "") + end for t in batch]
-            offsets = np.cumsum([0] + [len(x) // 4 for x in ids])
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            for at in range(0, len(batch), STEP):  # the output is as large as the input: a part at a time
+                ids = [x + end for x in encoder(path)([t or "" for t in batch.slice(at, STEP).to_pylist()])]
+                offsets = np.cumsum([0] + [len(x) // 4 for x in ids])
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
     return encode(F.col(text))
 
 
