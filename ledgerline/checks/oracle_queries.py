@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.checks.oracle_sql import avg2, initcap, money, pct2, with_stage
+from ledgerline.checks.oracle_sql import BASE, CLEAN, DEDUP, TRANSFORM, VALIDATE, avg2, initcap, money, pct2, with_stage
 from ledgerline.checks.oracle_sql import _city_alias  # noqa: PLC2701 - shared CASE text
 from ledgerline.schema import RAW_COLUMNS
 from ledgerline.sources import fixture as fx
@@ -62,13 +62,16 @@ _good_rows = f"""
 SELECT nullif(f_transaction_id, '') AS transaction_id, nullif(f_customer_id, '') AS customer_id,
   nullif(f_product_id, '') AS product_id, nullif(f_category, '') AS category, nullif(f_city, '') AS city,
   nullif(f_state, '') AS state, CAST(nullif(f_quantity, '') AS INTEGER) AS quantity,
-  CAST(nullif(f_unit_price, '') AS DECIMAL(10,2)) AS unit_price,
-  CAST(nullif(f_discount, '') AS DECIMAL(5,4)) AS discount,
-  CAST(nullif(f_total_amount, '') AS DECIMAL(12,2)) AS total_amount,
+  CAST(nullif(f_unit_price, '') AS DECIMAL(15,6)) AS unit_price,
+  CAST(nullif(f_discount, '') AS DECIMAL(9,6)) AS discount,
+  CAST(nullif(f_total_amount, '') AS DECIMAL(24,6)) AS total_amount,
   nullif(f_payment_method, '') AS payment_method, nullif(f_order_date, '') AS order_date,
   nullif(f_delivery_date, '') AS delivery_date
 FROM csv_fields WHERE NOT malformed"""
 
+# The whole run from CSV text: the usable lines take the raw view's place.
+_CSV_RUN = ("WITH " + BASE + CSV + ", sales_raw AS (" + _good_rows + "), "
+            + ", ".join([DEDUP, CLEAN, TRANSFORM, VALIDATE]))
 _big = "CAST({} AS BIGINT)"
 
 
@@ -93,6 +96,8 @@ ORACLE: dict[str, str] = {
 SELECT {_b('count(*)')} AS total_records, {_b('count(*) FILTER (malformed)')} AS malformed_records,
   {_b('count(*) FILTER (NOT malformed)')} AS usable_records FROM csv_final"""),
     "malformed_lines": _csv("SELECT line AS malformed_line FROM csv_final WHERE malformed"),
+    "schema_preview": "SELECT unnest([" + ", ".join(f"'{c}'" for c in RAW_COLUMNS) + """]) AS column_name,
+  (SELECT count(*) > 0 FROM lineitem) AS found""",
     "numeric_parse": _csv("""
 SELECT f_transaction_id AS transaction_id, nullif(f_quantity, '') AS quantity_text,
   TRY_CAST(nullif(f_quantity, '') AS DOUBLE) AS quantity_num,
@@ -229,6 +234,39 @@ FROM validated GROUP BY state"""),
 SELECT {avg2('delivery_days')} AS avg_delivery_days, min(delivery_days) AS min_delivery_days,
   max(delivery_days) AS max_delivery_days
 FROM validated WHERE delivery_days >= 0"""),
+    # the end-to-end run from CSV text
+    "pipeline_stats": _CSV_RUN + """
+, n AS (
+  SELECT (SELECT count(*) FROM csv_final) AS lines, (SELECT count(*) FROM csv_final WHERE malformed) AS malformed,
+    (SELECT count(*) FROM sales_raw) AS before, (SELECT count(*) FROM distinct_rows) AS dist,
+    count(*) AS kept, count(*) FILTER (customer_id IS NULL) AS m_c, count(*) FILTER (payment_method IS NULL) AS m_p,
+    count(*) FILTER (category IS NULL) AS m_cat, count(*) FILTER (city IS NULL) AS m_city,
+    count(*) FILTER (quantity < 0) AS neg, count(*) FILTER (try_strptime(order_date, '%Y-%m-%d') IS NULL) AS bad
+  FROM deduped
+), v AS (
+  SELECT count(*) AS t, count(*) FILTER (NOT revenue_consistent) AS ri, count(*) FILTER (NOT date_integrity_ok) AS dv,
+    count(*) - count(DISTINCT transaction_id) AS dup FROM validated
+)
+""" + "\nUNION ALL\n".join(
+        f"SELECT '{stage}' AS stage, '{key}' AS measure, CAST({x} AS DECIMAL(38,2)) AS value FROM {src}"
+        for stage, src, pairs in (
+            ("ingest", "n", {"total_records": "lines", "malformed_records": "malformed", "usable_records": "lines - malformed"}),
+            ("cleaning", "n", {
+                "rows_before_cleaning": "before", "exact_duplicate_rows_removed": "before - dist",
+                "duplicate_transaction_ids_removed": "dist - kept", "missing_customer_id_imputed": "m_c",
+                "missing_payment_method_imputed": "m_p", "missing_category_imputed": "m_cat",
+                "missing_city_imputed": "m_city", "negative_quantities_corrected": "neg",
+                "invalid_order_dates_dropped": "bad", "rows_after_cleaning": "kept - bad",
+                "total_rows_removed": "before - kept + bad"}),
+            ("validation", "v", {
+                "total_records_validated": "t", "duplicate_transaction_ids_found": "dup",
+                "revenue_inconsistent_records": "ri", "pct_revenue_consistent": pct2("t - ri", "t"),
+                "date_integrity_violations": "dv", "pct_date_integrity_ok": pct2("t - dv", "t")}))
+        for key, x in pairs.items()),
+    "pipeline_csv_reports": _CSV_RUN + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS report, {key} AS name, {money('revenue')} AS total_revenue, {_orders} AS total_orders "
+        f"FROM validated GROUP BY {key}"
+        for name, key in (("category", "category"), ("state", "state"), ("month", "order_year_month"), ("customer", "customer_id"))),
     # sinks
     "processed_table": with_stage("validated", "SELECT * FROM validated"),
     "report_roundtrip": with_stage("validated", _cat_report),

@@ -35,7 +35,7 @@ def avg2(x: str) -> str:
     n = f"count({x})"
     q = f"((2 * abs(CAST(sum({x}) * 100 AS HUGEINT)) + {n}) // (2 * {n}))"
     return (f"CASE WHEN {n} > 0 THEN CAST(CAST((CASE WHEN sum({x}) < 0 THEN -1 ELSE 1 END) * {q} "
-            f"AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) END")
+            f"AS DECIMAL(28,0)) * 0.01 AS DECIMAL(30,2)) END")
 
 
 def pct2(part: str, whole: str) -> str:
@@ -47,23 +47,38 @@ def money(x: str) -> str:
     return f"CAST(round(sum({x}), 2) AS DECIMAL(38,2))"
 
 
-_cat = _case("p.p_type", fx.PART_TYPE_CATEGORY, f"'{fx.OTHER_CATEGORY}'")
+_cat = ("CASE l.l_partkey % 13 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in fx.PART_KEY_CATEGORY.items())
+        + " ELSE " + _case("p.p_type", fx.PART_TYPE_CATEGORY, f"'{fx.OTHER_CATEGORY}'") + " END")
+
+
+def amount(quantity: str) -> str:
+    """quantity * price * (1 - discount); DuckDB stays at 18 digits unless an operand has more."""
+    return f"CAST({quantity} * CAST(unit_price AS DECIMAL(19,6)) AS DECIMAL(26,6)) * (1 - discount)"
+
+
+def _key(prefix: str, x: str, width: int) -> str:
+    """Prefix and number, with zeros only where the number is shorter than ``width``."""
+    t = f"CAST({x} AS VARCHAR)"
+    return f"'{prefix}' || repeat('0', greatest(0, {width} - length({t}))) || {t}"
+
+
+
 _city_variants = " ".join(f"WHEN o.o_custkey % 20 = {k} THEN '{v}'" for k, v in fx.CITY_VARIANTS.items())
 _bad_dates = " ".join(f"WHEN l.l_orderkey % {m} = 0 THEN '{v}'" for m, v in fx.BAD_ORDER_DATES)
 
 BASE = f"""
 fx_base AS (
   SELECT l.l_orderkey, l.l_linenumber,
-    'TXN' || lpad(CAST(l.l_orderkey AS VARCHAR), 9, '0') || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
-    CASE WHEN o.o_custkey % 50 = 0 THEN NULL ELSE 'CUST' || lpad(CAST(o.o_custkey AS VARCHAR), 7, '0') END AS customer_id,
-    'PROD' || lpad(CAST(l.l_partkey AS VARCHAR), 7, '0') AS product_id,
+    {_key('TXN', 'l.l_orderkey', 9)} || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
+    CASE WHEN o.o_custkey % 50 = 0 THEN NULL ELSE {_key('CUST', 'o.o_custkey', 7)} END AS customer_id,
+    {_key('PROD', 'l.l_partkey', 7)} AS product_id,
     {_cat} AS cat,
     CASE WHEN o.o_custkey % 71 = 0 THEN NULL {_city_variants} ELSE n.n_name END AS city,
     r.r_name AS state,
     CASE WHEN l.l_partkey % 101 = 0 THEN -CAST(l.l_quantity AS INTEGER) ELSE CAST(l.l_quantity AS INTEGER) END AS quantity,
     CAST(l.l_quantity AS INTEGER) AS qty_pos,
-    CAST(l.l_extendedprice AS DECIMAL(10,2)) AS unit_price,
-    CAST(l.l_discount AS DECIMAL(5,4)) AS discount,
+    CAST(l.l_extendedprice AS DECIMAL(15,6)) AS unit_price,
+    CAST(l.l_discount AS DECIMAL(9,6)) AS discount,
     CASE WHEN l.l_orderkey % 59 = 0 THEN NULL ELSE o.o_orderpriority END AS payment_method,
     CASE {_bad_dates} ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS order_date,
     CASE WHEN l.l_orderkey % 113 = 0 THEN NULL ELSE strftime(l.l_shipdate, '%Y-%m-%d') END AS delivery_date
@@ -81,8 +96,8 @@ fx_rows AS (
          WHEN l_orderkey % 37 = 0 THEN '  ' || upper(cat) || ' '
          ELSE cat END AS category,
     city, state, quantity, unit_price, discount,
-    CASE WHEN l_orderkey % 97 = 0 THEN CAST({fx.WRONG_TOTAL} AS DECIMAL(12,2))
-         ELSE CAST(round(qty_pos * unit_price * (1 - discount), 2) AS DECIMAL(12,2)) END AS total_amount,
+    CASE WHEN l_orderkey % 97 = 0 THEN CAST({fx.WRONG_TOTAL} AS DECIMAL(24,6))
+         ELSE CAST(round({amount('qty_pos')}, 2) AS DECIMAL(24,6)) END AS total_amount,
     payment_method, order_date, delivery_date
   FROM fx_base
 ),
@@ -90,10 +105,8 @@ fx_keyed AS (
   SELECT * FROM fx_rows
   UNION ALL
   SELECT * FROM fx_rows WHERE l_orderkey % 89 = 0
-),
-sales_raw AS (
-  SELECT {", ".join(RAW_COLUMNS)} FROM fx_keyed
 )"""
+RAW = f"sales_raw AS (SELECT {', '.join(RAW_COLUMNS)} FROM fx_keyed)"
 
 _others = [c for c in RAW_COLUMNS if c != "transaction_id"]
 _order = ", ".join(f"{c} ASC NULLS FIRST" for c in _others)
@@ -135,13 +148,13 @@ transformed AS (
   SELECT transaction_id, customer_id, product_id, category,
     coalesce({_city_alias}, city0) AS city,
     state, quantity, unit_price, discount, total_amount, payment_method, order_date, delivery_date,
-    CAST(round(quantity * unit_price * (1 - discount), 2) AS DECIMAL(12,2)) AS revenue,
-    CAST({_margin} AS DECIMAL(3,2)) AS profit_margin
+    CAST(round({amount('quantity')}, 2) AS DECIMAL(27,2)) AS revenue,
+    CAST({_margin} AS DECIMAL(9,6)) AS profit_margin
   FROM std
 ),
 derived AS (
   SELECT *,
-    CAST(round(revenue * profit_margin, 2) AS DECIMAL(12,2)) AS profit,
+    CAST(round(revenue * profit_margin, 2) AS DECIMAL(31,2)) AS profit,
     CAST(delivery_date - order_date AS INTEGER) AS delivery_days,
     CAST(month(order_date) AS INTEGER) AS order_month,
     CAST(year(order_date) AS INTEGER) AS order_year,
@@ -158,11 +171,11 @@ validated AS (
 )"""
 
 STAGES = {
-    "sales_raw": [BASE],
-    "deduped": [BASE, DEDUP],
-    "cleaned": [BASE, DEDUP, CLEAN],
-    "derived": [BASE, DEDUP, CLEAN, TRANSFORM],
-    "validated": [BASE, DEDUP, CLEAN, TRANSFORM, VALIDATE],
+    "sales_raw": [BASE, RAW],
+    "deduped": [BASE, RAW, DEDUP],
+    "cleaned": [BASE, RAW, DEDUP, CLEAN],
+    "derived": [BASE, RAW, DEDUP, CLEAN, TRANSFORM],
+    "validated": [BASE, RAW, DEDUP, CLEAN, TRANSFORM, VALIDATE],
 }
 
 

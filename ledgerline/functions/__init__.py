@@ -1,25 +1 @@
-"""Column expressions shared by the DataFrame and SQL paths."""
-
-from ledgerline.functions.columns import (  # noqa: F401
-    DATE_FORMAT,
-    DEFAULT_CATEGORY_MARGINS,
-    DEFAULT_CITY_ALIASES,
-    DEFAULT_MARGIN,
-    avg_half_up,
-    avg_half_up_sql,
-    city_label,
-    delivery_days,
-    lookup,
-    normalize_city,
-    numeric_parse,
-    order_month,
-    order_year,
-    order_year_month,
-    parse_date,
-    pct_half_up,
-    pct_half_up_sql,
-    profit,
-    profit_margin,
-    revenue,
-    standardize_category,
-)
+"""Column expressions shared by the DataFrame and SQL paths (``columns``)."""

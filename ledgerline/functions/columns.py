@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.schema import AMOUNT, MARGIN, MONEY_AVG
+from ledgerline.schema import AMOUNT, MARGIN, MONEY_AVG, MONEY_SUM, PROFIT
 
 # --- Fixed values: these must equal the source job's for equal results. ------
 # Category -> assumed profit margin (no cost column exists, profit is modelled).
@@ -114,7 +114,7 @@ def profit_margin(category: Column | str = "category",
 
 def profit(revenue_col: Column | str = "revenue", margin: Column | str = "profit_margin") -> Column:
     """T5: round(revenue * margin, 2) from the already rounded revenue."""
-    return F.round(_col(revenue_col) * _col(margin), 2).cast(AMOUNT)
+    return F.round(_col(revenue_col) * _col(margin), 2).cast(PROFIT)
 
 
 def delivery_days(delivery: Column | str = "delivery_date",
@@ -153,10 +153,12 @@ def city_label(city: Column | str = "city", state: Column | str = "state") -> Co
 
 def avg_half_up_sql(x: str) -> str:
     """SQL text of round(avg(x), 2) computed exactly; NULL on no rows."""
-    units = f"CAST(CAST(sum({x}) AS DECIMAL(38,2)) * 100 AS DECIMAL(38,0))"
+    total = f"sum(CAST({x} AS {MONEY_SUM.upper()}))"
     n = f"count({x})"
-    q = f"((2 * abs({units}) + {n}) div (2 * {n}))"
-    return (f"CASE WHEN {n} > 0 THEN CAST((CASE WHEN sum({x}) < 0 THEN -1 ELSE 1 END) * {q} "
+    a = f"CAST(200 * abs({total}) + {n} AS DECIMAL(38,0))"
+    # a less its remainder divides without one (``div`` would end in a BIGINT)
+    q = f"CAST(({a} - {a} % (2 * {n})) / (2 * {n}) AS DECIMAL(36,0))"
+    return (f"CASE WHEN {n} > 0 THEN CAST((CASE WHEN {total} < 0 THEN -1 ELSE 1 END) * {q} "
             f"* 0.01 AS {MONEY_AVG.upper()}) END")
 
 

@@ -78,11 +78,6 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
-def drop_duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
-    """One row per key with a deterministic survivor."""
-    return deduplicate(df, key)
-
-
 def _imputed() -> dict[str, Column]:
     return {
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),

@@ -64,9 +64,7 @@ def uniqueness_check(df: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def report_counts() -> list[Column]:
-    """V4's counts over a flagged frame as aggregate expressions. No DISTINCT,
-    so they also work in ``DataFrame.observe`` (``plans.pipeline`` collects them
-    while the processed table is written)."""
+    """V4's counts over a flagged frame as aggregate expressions."""
     return [
         F.count(F.lit(1)).cast("bigint").alias("total_records_validated"),
         F.count_if(~F.col("revenue_consistent")).cast("bigint").alias("revenue_inconsistent_records"),
@@ -74,30 +72,6 @@ def report_counts() -> list[Column]:
     ]
 
 
-def _pct_half_up(part: int, whole: int) -> Decimal | None:
-    """round(100 * part / whole, 2), half up, in integers: the formula of
-    ``columns.pct_half_up`` for values already on the driver."""
-    if whole <= 0:
-        return None
-    return Decimal((20000 * part + whole) // (2 * whole)).scaleb(-2)
-
-
-def report_from_counts(counts: dict, duplicate_ids: int) -> dict:
-    """V4 as a dict from the observed ``report_counts`` and a known duplicate
-    count (0 for a frame written from a group-by on the key)."""
-    total = counts["total_records_validated"]
-    bad_revenue = counts["revenue_inconsistent_records"]
-    bad_dates = counts["date_integrity_violations"]
-    return {
-        "total_records_validated": total,
-        "duplicate_transaction_ids_found": duplicate_ids,
-        "revenue_inconsistent_records": bad_revenue,
-        "pct_revenue_consistent": _pct_half_up(total - bad_revenue, total),
-        "date_integrity_violations": bad_dates,
-        "pct_date_integrity_ok": _pct_half_up(total - bad_dates, total),
-    }
-
-
 def validation_report(flagged: DataFrame, key: str = KEY) -> DataFrame:
     """V4 over a frame that already carries the two flags; one aggregate pass.
     Duplicate ids are counted from the data (one distinct aggregate)."""

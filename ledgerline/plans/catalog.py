@@ -1,20 +1,23 @@
 """One Spark query per operator, each over the fixture view of a table folder.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-work grows with the driver's tables. Column names and types match the SQL
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose work grows
+with the driver's tables; lazy, but for those whose feature is a written file or
+the whole run, which write it first. Column names and types match the SQL
 twins in ``ledgerline.checks.oracle_queries``.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import cleaning, reports, transform, validation
-from ledgerline.plans import sql_reports
+from ledgerline.plans import pipeline, sql_reports
 from ledgerline.schema import RAW_COLUMNS
 from ledgerline.session import scratch_path
 from ledgerline.sinks import files
@@ -23,6 +26,11 @@ from ledgerline.sources import csv_ingest, fixture
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# ``validated`` is grouped by transaction id, so its ids are unique (``uniqueness_check``
+# and ``validation_report`` measure it).
+UNIQUE = True
+
+
 # --- stage frames --------------------------------------------------------------
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,34 +55,49 @@ def validated(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- sources ---------------------------------------------------------------------
 
-def _staged_csv(spark: SparkSession, sf: str) -> str:
-    """The fixture rendered as CSV files in a fresh folder of the shared checkpoint dir."""
-    return fixture.write_sales_csv(spark, sf, scratch_path(spark, "sales-csv"))
+def _csv_folder(spark: SparkSession, sf: str) -> str:
+    """The fixture rendered as CSV files in the shared checkpoint folder, once for a
+    session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RENDERED:
+        _RENDERED[key] = fixture.write_sales_csv(spark, sf, scratch_path(spark, "sales-csv"))
+    return _RENDERED[key]
+
+
+_RENDERED: dict[tuple[str, str], str] = {}
+
+
+def _ingested(spark: SparkSession, sf: str) -> csv_ingest.Ingested:
+    return csv_ingest.ingest_lines(fixture.sales_csv_lines(spark, sf))
 
 
 def q_csv_routing(spark, sf):
-    return csv_ingest.ingest_csv(spark, _staged_csv(spark, sf)).good
+    return _ingested(spark, sf).good
 
 
 def q_ingest_counts(spark, sf):
-    return csv_ingest.ingest_csv(spark, _staged_csv(spark, sf)).counts
+    return _ingested(spark, sf).counts
 
 
 def q_malformed_lines(spark, sf):
     """K1 round trip: bad lines written by the reject sink, read back."""
     path = scratch_path(spark, "rejects")
-    files.write_rejects(csv_ingest.ingest_csv(spark, _staged_csv(spark, sf)).bad, path)
+    if not files.write_rejects(_ingested(spark, sf).bad, path):
+        raise OSError(f"rejects not written to {path}")
     return spark.read.text(path).select(F.col("value").alias("malformed_line"))
 
 
 def q_schema_preview(spark, sf):
-    return csv_ingest.infer_schema_preview(spark, _staged_csv(spark, sf))
+    """The columns that inference finds in the CSV files (the sampled types are for
+    looking at; they follow the sample)."""
+    return (csv_ingest.infer_schema_preview(spark, _csv_folder(spark, sf))
+            .select(F.col("column").alias("column_name"), F.col("inferred_type").isNotNull().alias("found")))
 
 
 def q_numeric_parse(spark, sf):
     """T10 over the CSV text: every field as text, then tolerant numeric parse."""
     text_ddl = ", ".join(f"`{c}` string" for c in RAW_COLUMNS)
-    lines = fixture.sales_csv_lines(spark, sf, header=False)
+    lines = fixture.sales_csv_lines(spark, sf)
     fields = lines.select(F.from_csv("value", text_ddl, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
     return fields.select(
         "transaction_id",
@@ -158,7 +181,7 @@ def q_quality_profile(spark, sf):
 # --- reports ---------------------------------------------------------------------
 
 def q_sales_kpis(spark, sf):
-    return reports.sales_kpis(validated(spark, sf))
+    return reports.sales_kpis(validated(spark, sf), unique_ids=UNIQUE)
 
 
 def q_avg_delivery(spark, sf):
@@ -166,15 +189,15 @@ def q_avg_delivery(spark, sf):
 
 
 def q_revenue_by_category(spark, sf):
-    return reports.revenue_by_category(validated(spark, sf))
+    return reports.revenue_by_category(validated(spark, sf), unique_ids=UNIQUE)
 
 
 def q_revenue_by_state(spark, sf):
-    return reports.revenue_by_state(validated(spark, sf))
+    return reports.revenue_by_state(validated(spark, sf), unique_ids=UNIQUE)
 
 
 def q_monthly_trend(spark, sf):
-    return reports.monthly_revenue_trend(validated(spark, sf))
+    return reports.monthly_revenue_trend(validated(spark, sf), unique_ids=UNIQUE)
 
 
 def q_top_products(spark, sf):
@@ -186,16 +209,16 @@ def q_top_cities(spark, sf):
 
 
 def q_customer_summary(spark, sf):
-    return reports.customer_summary(validated(spark, sf))
+    return reports.customer_summary(validated(spark, sf), unique_ids=UNIQUE)
 
 
 def q_kpi_long(spark, sf):
-    return reports.kpi_long(reports.sales_kpis(validated(spark, sf), with_delivery=True))
+    return reports.kpi_long(reports.sales_kpis(validated(spark, sf), unique_ids=UNIQUE, with_delivery=True))
 
 
 def _sql(name: str) -> Query:
     def q(spark, sf):
-        return sql_reports.run_sql(spark, name, validated(spark, sf))
+        return sql_reports.run_sql(spark, name, validated(spark, sf), unique_ids=UNIQUE)
     q.__name__ = f"q_{name}"
     return q
 
@@ -211,11 +234,36 @@ def q_processed_table(spark, sf):
 
 def q_report_roundtrip(spark, sf):
     """K3 + S7 round trip: the category report exported as CSV and read back."""
-    df = reports.revenue_by_category(validated(spark, sf))
+    df = reports.revenue_by_category(validated(spark, sf), unique_ids=UNIQUE)
     path = files.write_report(df, scratch_path(spark, "category_sales"), single_file=True)
     return csv_ingest.read_report_csv(spark, path, df.schema)
 
 
+# --- the end-to-end run ------------------------------------------------------------
+
+def _csv_run(spark: SparkSession, sf: str) -> pipeline.RunResult:
+    return pipeline.run(spark, csv_path=_csv_folder(spark, sf))
+
+
+def q_pipeline_stats(spark, sf):
+    """What the run from CSV text reports of itself: (stage, measure, value)."""
+    res = _csv_run(spark, sf)
+    rows = [(stage, k, None if v is None else Decimal(v))
+            for stage, d in (("ingest", res.ingest_counts), ("cleaning", res.cleaning_stats),
+                             ("validation", res.validation_report)) for k, v in d.items()]
+    return spark.createDataFrame(rows, "stage string, measure string, value decimal(38,2)")
+
+
+def q_pipeline_csv_reports(spark, sf):
+    """Four reports of the run from CSV text, one under the other."""
+    res = _csv_run(spark, sf)
+    parts = [res.reports[name].select(F.lit(label).alias("report"), F.col(key).alias("name"), "total_revenue", "total_orders")
+             for label, name, key in (("category", "revenue_by_category", "category"), ("state", "revenue_by_state", "state"),
+                                      ("month", "monthly_revenue_trend", "order_year_month"),
+                                      ("customer", "customer_summary", "customer_id"))]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "csv_routing": q_csv_routing,
     "ingest_counts": q_ingest_counts,
@@ -250,4 +298,6 @@ QUERIES: dict[str, Query] = {
     **{name: _sql(name) for name in sql_reports.SQL},
     "processed_table": q_processed_table,
     "report_roundtrip": q_report_roundtrip,
+    "pipeline_stats": q_pipeline_stats,
+    "pipeline_csv_reports": q_pipeline_csv_reports,
 }

@@ -9,9 +9,10 @@ so retried tasks or a lost executor do not count rows twice:
   observed in that job. Reject lines are copied from their staging folder only
   when there are any.
 * The processed table is written from the staged rows (or a given frame);
-  the cleaning statistics and the validation counts are observed in its
-  writing stage, above the month rebalance, so no pass over the table is
-  needed for them.
+  the cleaning statistics are observed in its writing stage, above the month
+  rebalance.
+* The validation report, with the duplicate ids, is measured on the table as
+  written: a pass over three of its columns that shuffles only keys.
 
 Each later stage reads the written table back, which cuts the lineage: a lost
 executor costs a re-read of table files, not a re-parse or a re-run of the
@@ -43,6 +44,7 @@ class RunResult:
     cleaning_stats: dict
     validation_report: dict
     ingest_counts: dict | None = None
+    rejects_path: str | None = None   # where the malformed lines are; the staging table if they couldn't be written
     reports: dict[str, DataFrame] = field(default_factory=dict)
     sql_reports: dict[str, DataFrame] = field(default_factory=dict)
     exported: dict[str, str] = field(default_factory=dict)
@@ -73,7 +75,7 @@ def process(raw: DataFrame,
 def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None = None,
         processed_path: str | None = None, reports_dir: str | None = None,
         rejects_path: str | None = None, processed_format: str = "parquet",
-        staging_path: str | None = None, stage_ingest: bool = True,
+        staging_path: str | None = None,
         margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
         aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
         jdbc_load: Mapping[str, object] | None = None) -> RunResult:
@@ -81,68 +83,59 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
 
     ``processed_path`` (and, for CSV input, ``staging_path``: the parsed lines
     as a typed table) default to fresh folders under the session's shared
-    ``spark.checkpoint.dir``; a default staging folder is deleted once the
-    processed table is written. ``stage_ingest=False`` skips the staging
-    table (one write and read of the input fewer): the processed table is then
-    built straight from the parsed lines and the ingest counts are observed in
-    the dedup's map stage, so a stage re-run after a lost executor can count
-    lines twice, and a re-run re-parses CSV. ``jdbc_load`` (keyword arguments of
+    ``spark.checkpoint.dir``. Malformed lines, if there are any, go to
+    ``rejects_path`` (default: the processed path with ``_rejects`` appended). A
+    default staging folder is deleted once both are written, and kept if the
+    rejects could not be: no line is lost. ``jdbc_load`` (keyword arguments of
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
-    counts = None
-    scratch_staging = None
-    ingest_obs = bad = None
+    counts = scratch_staging = bad = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
         parsed = csv_ingest.parse_lines(csv_ingest.read_lines(spark, csv_path))
         ingest_obs = Observation("ingest")
-        if stage_ingest:
-            if staging_path is None:
-                scratch_staging = staging_path = scratch_path(spark, "staged")
-            staging = csv_ingest.write_staged(parsed, staging_path, ingest_obs)
-            counts = dict(ingest_obs.get)
-            raw, bad = csv_ingest.read_staged(spark, staging)
-        else:
-            # One pass fewer: the counts are observed in the map stage of the
-            # dedup shuffle and are exact unless that stage re-runs.
-            raw, bad = csv_ingest.split_parsed(parsed.observe(ingest_obs, *csv_ingest.count_columns()))
-
-    stats_obs, checks_obs = Observation("cleaning"), Observation("validation")
+        if staging_path is None:
+            scratch_staging = staging_path = scratch_path(spark, "staged")
+        raw, bad = csv_ingest.read_staged(spark, csv_ingest.write_staged(parsed, staging_path, ingest_obs))
+        counts = dict(ingest_obs.get)
+        log.info("ingest: %s", counts)
+
+    stats_obs = Observation("cleaning")
     processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
     processed_path = processed_path or scratch_path(spark, "processed")
-    files.write_processed(processed.observe(checks_obs, *validation.report_counts()),
-                          processed_path, processed_format, rebalance=False)
+    files.write_processed(processed, processed_path, processed_format, rebalance=False)
     stats = dict(stats_obs.get)
     log.info("cleaning: %s", stats)
-    # The table is written from a group-by on the key (one row per key), so it
-    # has no duplicate ids by construction; counting them again would shuffle
-    # every key of the table.
-    report = validation.report_from_counts(dict(checks_obs.get), duplicate_ids=0)
-    log.info("validation: %s", report)
 
-    if ingest_obs is not None:
-        counts = counts or dict(ingest_obs.get)
-        log.info("ingest: %s", counts)
-        if rejects_path and counts["malformed_records"] > 0:
-            files.write_rejects(bad, rejects_path)
-
-    if scratch_staging is not None:
+    kept_at = None
+    if bad is not None and counts["malformed_records"] > 0:
+        kept_at = rejects_path or f"{processed_path.rstrip('/')}_rejects"
+        if not files.write_rejects(bad, kept_at):
+            kept_at = staging_path
+            log.error("%d malformed lines stay in the staging table %s", counts["malformed_records"], staging_path)
+    if scratch_staging is not None and kept_at != scratch_staging:
         # Nothing reads the staged lines once the processed table and the
         # rejects are written; a staging folder the caller named is kept.
         remove_path(spark, scratch_staging)
 
     reader = spark.read.schema(processed.schema)
     if processed_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**files.CSV_EXACT_READ)
     table = reader.format(processed_format).load(processed_path).select(*processed.columns)
 
-    result = RunResult(table, processed_path, stats, report, counts,
-                       reports.run_aggregations(table), sql_reports.run_all(spark, table))
+    report = validation.validation_report(table).first().asDict()
+    log.info("validation: %s", report)
+    duplicates = report["duplicate_transaction_ids_found"]
+    if duplicates:
+        log.warning("%d rows of the processed table repeat a transaction id", duplicates)
+    unique = duplicates == 0
+
+    result = RunResult(table, processed_path, stats, report, counts, kept_at,
+                       reports.run_aggregations(table, unique_ids=unique), sql_reports.run_all(spark, table, unique))
     if reports_dir:
         result.exported = files.export_reports(result.reports, reports_dir)
     if jdbc_load is not None:
         jdbc.write_jdbc(table, **jdbc_load)
-        log.info("loaded the processed table into %s", jdbc_load.get("table"))
     return result

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is exact decimal from ingest on; widths follow the warehouse DDL.
-PRICE = T.DecimalType(10, 2)
-RATE = T.DecimalType(5, 4)
-AMOUNT = T.DecimalType(12, 2)
-MARGIN = T.DecimalType(3, 2)
-# Report outputs: sums get the widest decimal so a 100 TB total cannot overflow;
-# averages are bounded by a single amount.
+# Money is exact decimal from ingest on, with six decimals and as many digits as
+# keep quantity * price * (1 - discount) exact: 10 + 15 + 1, and 10 more for
+# (1 - discount), is 37 digits. A price of ten digits or a discount of four is malformed.
+PRICE = T.DecimalType(15, 6)
+RATE = T.DecimalType(9, 6)
+TOTAL = T.DecimalType(24, 6)
+MARGIN = T.DecimalType(9, 6)
+# Results of the formulas at those widths: 25 digits before the point for revenue, 29
+# for revenue times a margin. So no row can overflow them.
+AMOUNT = T.DecimalType(27, 2)
+PROFIT = T.DecimalType(31, 2)
+# Report outputs. Values are widened before they are summed.
 MONEY_SUM = "decimal(38,2)"
-MONEY_AVG = "decimal(18,2)"
+MONEY_AVG = "decimal(30,2)"
 
 KEY = "transaction_id"
 CORRUPT = "_corrupt_record"
@@ -37,7 +42,7 @@ def raw_schema() -> T.StructType:
         T.StructField("quantity", T.IntegerType()),
         T.StructField("unit_price", PRICE),
         T.StructField("discount", RATE),
-        T.StructField("total_amount", AMOUNT),
+        T.StructField("total_amount", TOTAL),
         T.StructField("payment_method", s),
         T.StructField("order_date", s),
         T.StructField("delivery_date", s),

@@ -42,8 +42,8 @@ def get_session(app_name: str = "ledgerline", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir``.
 
-    A temporary folder is set only for a ``local[...]`` session that has none
-    (tests); on a cluster a node-local folder would be invisible to the other
+    A temporary folder is set (on the session's context, the one thing this library
+    changes there) only for a ``local[...]`` session that has none (tests); on a cluster a node-local folder would be invisible to the other
     executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
@@ -61,9 +61,21 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder; the file system
+    client removes it when the driver's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return f"{shared_dir(spark).rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name under ``scratch_root``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

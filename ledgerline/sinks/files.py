@@ -6,6 +6,7 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from ledgerline.schema import CORRUPT
 log = logging.getLogger("ledgerline.sinks")
 
 PART_KEY = "_write_partition"
+# CSV that reads back as it was: NULL as a bare \N, empty text quoted, blanks kept.
+CSV_EXACT = {"header": "true", "nullValue": "\\N", "emptyValue": '""', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+CSV_EXACT_READ = {**CSV_EXACT, "emptyValue": ""}
 
 # Reports whose row count is bounded by a small dimension (categories, states,
 # months, top-k): written as one CSV file each. Anything else keeps its
@@ -34,7 +39,8 @@ REPORT_FILES = {
 
 def write_rejects(bad: DataFrame, path: str) -> bool:
     """K1: raw text of malformed lines, overwrite. The number of bad lines is not
-    bounded, so no single-file coalesce. A failed write is logged, not raised."""
+    bounded, so no single-file coalesce. A failed write is logged and gives False:
+    the run goes on, and keeps the table that still holds the lines."""
     try:
         bad.select(F.col(CORRUPT).alias("value")).write.mode("overwrite").text(path)
         return True
@@ -69,7 +75,7 @@ def write_processed(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV_EXACT).csv(path)
     else:
         w.format(fmt).save(path)
     return path
@@ -100,5 +106,7 @@ def export_reports(reports: dict[str, DataFrame], reports_dir: str,
         fname = REPORT_FILES.get(name, name)
         jobs.append((name, df, f"{reports_dir.rstrip('/')}/{fname}", name in BOUNDED_REPORTS))
     with ThreadPoolExecutor(max_workers=max(1, parallel or len(jobs))) as pool:
-        futures = {name: pool.submit(write_report, df, path, single) for name, df, path, single in jobs}
+        # the caller's job group and scheduler pool hold for the threads too
+        write = inheritable_thread_target(jobs[0][1].sparkSession)(write_report) if jobs else write_report
+        futures = {name: pool.submit(write, df, path, single) for name, df, path, single in jobs}
         return {name: f.result() for name, f in futures.items()}

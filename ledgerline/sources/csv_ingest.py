@@ -4,8 +4,8 @@ Lines are read as text and parsed with ``from_csv`` in PERMISSIVE mode. The
 CSV file source converts only the columns a query needs, so which lines are
 "corrupt" would change with the projection (a count that touches only the
 corrupt column even fails). Parsing the whole line in one expression makes
-the split independent of column pruning and needs no cache. Limits: no
-multi-line quoted fields; a line equal to the header is dropped.
+the split independent of column pruning and needs no cache. The first line of
+every file is its header, whatever it says. Limit: no multi-line quoted fields.
 """
 
 from __future__ import annotations
@@ -30,20 +30,25 @@ class Ingested:
     counts: DataFrame
 
 
+# A character that separates nothing: a line is one field. A line that does hold it
+# comes whole in the corrupt column.
+NO_SEPARATOR = "\x01"
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines of one or many CSV files (column ``value``)."""
-    return spark.read.text(path)
+    """Text lines of one or many CSV files without each file's first line, its header
+    (column ``value``). The CSV reader knows where a file begins, the text reader doesn't."""
+    whole = (spark.read.schema("value string, _whole string").option("header", True).option("sep", NO_SEPARATOR)
+             .option("quote", "").option("columnNameOfCorruptRecord", "_whole").option("mode", "PERMISSIVE"))
+    return whole.csv(path).select(F.coalesce("_whole", "value").alias("value"))
 
 
-def parse_lines(lines: DataFrame, header: str | None = ",".join(RAW_COLUMNS),
-                value_col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """S3: parse each line against the fixed schema; unparseable lines keep
     their text in ``_corrupt_record`` (bad cast, too few or too many fields).
     Blank fields are NULL and are not corrupt; leading spaces are kept."""
     v = F.col(value_col)
     kept = lines.filter(F.length(F.trim(v)) > 0)
-    if header is not None:
-        kept = kept.filter(v != F.lit(header))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return kept.select(F.from_csv(v, raw_ddl(with_corrupt=True), opts).alias("r")).select("r.*")
 
@@ -98,8 +103,9 @@ def read_staged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def ingest_lines(lines: DataFrame, header: str | None = ",".join(RAW_COLUMNS)) -> Ingested:
-    parsed = parse_lines(lines, header)
+def ingest_lines(lines: DataFrame) -> Ingested:
+    """S3 + S5 + S6 for lines without a header."""
+    parsed = parse_lines(lines)
     good, bad = split_parsed(parsed)
     return Ingested(good, bad, ingest_counts(parsed))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.schema import AMOUNT, PRICE, RATE, RAW_COLUMNS
+from ledgerline.schema import PRICE, RATE, RAW_COLUMNS, TOTAL
 
 # --- Fixed values of the fixture (FIXTURES.md section 4 and 5). ---------------
 PART_TYPE_CATEGORY = {
@@ -22,10 +22,12 @@ PART_TYPE_CATEGORY = {
     "STANDARD": "Furniture",
 }
 OTHER_CATEGORY = "Seasonal"
+# Categories that no part type stands for, by l_partkey % 13.
+PART_KEY_CATEGORY = {1: "Clothing", 2: "Footwear", 3: "Sports & Fitness", 4: "Books & Stationery", 5: "Toys & Games"}
 CITY_VARIANTS = {1: "Bombay", 2: " new delhi", 3: "CALCUTTA ", 4: "Bengaluru", 5: "Madras", 6: "mumbai"}
-BAD_ORDER_DATES = [(103, "2024-13-45"), (107, "31-02-2024"), (109, "")]
+BAD_ORDER_DATES = [(103, "2023-00-17"), (107, "17/04/2023"), (109, "")]
 WRONG_TOTAL = "123.45"
-GARBAGE_TOKENS = ["#REF!", "ERROR", "N/A", "CORRUPTED", "#####"]
+GARBAGE_TOKENS = ["?", "missing", "1O2", "--", "NaN%"]
 # CSV faults, by l_orderkey modulus: token in quantity, token in unit_price,
 # one field short, one field extra, blank quantity, spaces-only category,
 # quoted comma in city.
@@ -91,22 +93,30 @@ def _lit(v: str) -> str:
     return f"'{v}'"
 
 
+def padded(key: str, width: int) -> str:
+    """The key with zeros in front, at least ``width`` long; longer keys stay whole
+    (``lpad`` alone would cut them)."""
+    text = f"CAST({key} AS STRING)"
+    return f"lpad({text}, greatest({width}, length({text})), '0')"
+
+
 def _raw_exprs() -> list[str]:
     """The 13 raw columns as SQL expressions over the joined row (one JVM parse
     each instead of hundreds of Column-building calls)."""
-    cat = ("CASE p_type " + " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in PART_TYPE_CATEGORY.items())
+    cat = ("CASE " + " ".join(f"WHEN l_partkey % 13 = {k} THEN {_lit(v)}" for k, v in PART_KEY_CATEGORY.items())
+           + " " + " ".join(f"WHEN p_type = {_lit(k)} THEN {_lit(v)}" for k, v in PART_TYPE_CATEGORY.items())
            + f" ELSE {_lit(OTHER_CATEGORY)} END")
     city = " ".join(f"WHEN o_custkey % 20 = {k} THEN {_lit(v)}" for k, v in CITY_VARIANTS.items())
     bad_dates = " ".join(f"WHEN l_orderkey % {m} = 0 THEN {_lit(v)}" for m, v in BAD_ORDER_DATES)
     qty = "CAST(l_quantity AS INT)"
     price = f"CAST(l_extendedprice AS {PRICE.simpleString()})"
     disc = f"CAST(l_discount AS {RATE.simpleString()})"
-    amount = AMOUNT.simpleString()
+    amount = TOTAL.simpleString()
     return [
-        "concat('TXN', lpad(CAST(l_orderkey AS STRING), 9, '0'), '-', CAST(l_linenumber AS STRING)) AS transaction_id",
-        "CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE concat('CUST', lpad(CAST(o_custkey AS STRING), 7, '0')) END"
+        f"concat('TXN', {padded('l_orderkey', 9)}, '-', CAST(l_linenumber AS STRING)) AS transaction_id",
+        f"CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE concat('CUST', {padded('o_custkey', 7)}) END"
         " AS customer_id",
-        "concat('PROD', lpad(CAST(l_partkey AS STRING), 7, '0')) AS product_id",
+        f"concat('PROD', {padded('l_partkey', 7)}) AS product_id",
         f"CASE WHEN l_orderkey % 67 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN lower({cat})"
         f" WHEN l_orderkey % 37 = 0 THEN concat('  ', upper({cat}), ' ') ELSE {cat} END AS category",
         f"CASE WHEN o_custkey % 71 = 0 THEN NULL {city} ELSE n_name END AS city",
@@ -133,9 +143,9 @@ def sales_raw(spark: SparkSession, sf_dir: str, keys: bool = False) -> DataFrame
     return sales_base(spark, sf_dir).selectExpr(*exprs, copies).drop("_copy")
 
 
-def sales_csv_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
-    """The raw view rendered as CSV text lines (column ``value``), with the
-    CSV-only faults of FIXTURES.md section 5 injected by key."""
+def sales_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw view rendered as CSV text lines (column ``value``, no header), with
+    the CSV-only faults of FIXTURES.md section 5 injected by key."""
     tokens = "array(" + ", ".join(_lit(t) for t in GARBAGE_TOKENS) + ")"
     token = f"element_at({tokens}, CAST(l_linenumber % {len(GARBAGE_TOKENS)} + 1 AS INT))"
     fields = []
@@ -153,14 +163,17 @@ def sales_csv_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> Da
     line = "concat_ws(',', " + ", ".join(fields) + ")"
     value = (f"CASE WHEN l_orderkey % {CSV_SHORT} = 0 THEN regexp_replace({line}, ',[^,]*$', '')"
              f" WHEN l_orderkey % {CSV_LONG} = 0 THEN concat({line}, ',EXTRA') ELSE {line} END AS value")
-    lines = sales_raw(spark, sf_dir, keys=True).selectExpr(value)
-    if header:
-        head = spark.range(1).select(F.lit(",".join(RAW_COLUMNS)).alias("value"))
-        lines = head.unionByName(lines)
-    return lines
+    return sales_raw(spark, sf_dir, keys=True).selectExpr(value)
 
 
 def write_sales_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Write the rendered lines as text files (a CSV folder) and return the path."""
-    sales_csv_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    """Write the rendered lines as text files (a CSV folder), a header at the top of
+    each file, and return the path."""
+    lines = sales_csv_lines(spark, sf_dir)
+    # the lower 33 bits of the id number the rows of a partition, which is written as one file
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit(",".join(RAW_COLUMNS))
+    numbered = lines.select("value", first.alias("first"))
+    (numbered.select(F.explode(F.when(F.col("first"), F.array(header, "value")).otherwise(F.array("value"))).alias("value"))
+     .write.mode("overwrite").text(path))
     return path

@@ -22,7 +22,7 @@ LINES = [
 
 
 def lines(spark):
-    return spark.createDataFrame([(x,) for x in LINES], "value string")
+    return spark.createDataFrame([(x,) for x in LINES[1:]], "value string")
 
 
 def test_routing(spark):
@@ -50,7 +50,7 @@ def test_values_kept_as_text(spark):
 
 def test_csv_files_and_preview(spark, tmp_path):
     p = str(tmp_path / "in")
-    lines(spark).coalesce(1).write.text(p)
+    spark.createDataFrame([(x,) for x in LINES], "value string").coalesce(1).write.text(p)
     ing = csv_ingest.ingest_csv(spark, p)
     assert ing.good.count() == 4
     prev = {r["column"]: r["inferred_type"] for r in csv_ingest.infer_schema_preview(spark, p, 1.0).collect()}
@@ -71,3 +71,43 @@ def test_staged_ingest_counts_in_result_stage(spark, tmp_path):
     assert bad.count() == 4
     good_scan = [x for x in good._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x][0]
     assert "PartitionFilters: [isnotnull(_malformed" in good_scan   # reads only its own folder
+
+
+def test_first_line_of_a_file_is_its_header(spark, tmp_path):
+    quoted = ",".join(f'"{c.upper()}"' for c in RAW_COLUMNS)
+    spaced = ", ".join(RAW_COLUMNS)
+    for name, head in (("a", HEADER), ("b", quoted), ("c", spaced)):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.csv").write_text("\n".join([head, GOOD, HEADER, GOOD + "\x01x"]) + "\n")
+    ing = csv_ingest.ingest_csv(spark, str(tmp_path / "in"))
+    # a header further down is a line like any other, and no line is cut
+    assert ing.counts.first().asDict() == {"total_records": 9, "malformed_records": 3, "usable_records": 6}
+    assert sorted({r["delivery_date"] for r in ing.good.collect()}) == ["2024-01-12", "2024-01-12\x01x"]
+
+
+def test_wide_numbers_are_neither_rejected_nor_rounded(spark):
+    text = [GOOD.replace(",2,10.50,0.1000,18.90,", f",{q},{p},{d},{t},") for q, p, d, t in (
+        (1, "10.555", "0.12345", "9.25"), (1, "123456789.00", "0", "12345678901.00"), (1, "5", "10", "-45"),
+        (2000000, "99999", "0", "199998000000"))]
+    good = csv_ingest.ingest_lines(spark.createDataFrame([(x,) for x in text], "value string")).good
+    got = [(r["unit_price"], r["discount"], r["total_amount"]) for r in good.collect()]
+    assert got == [(D("10.555"), D("0.12345"), D("9.25")), (D("123456789"), D("0"), D("12345678901")),
+                   (D("5"), D("10"), D("-45")), (D("99999"), D("0"), D("199998000000"))]
+    from ledgerline.operators import transform
+    from ledgerline.operators.cleaning import parse_dates
+    money = transform.transform_data(parse_dates(good), margins={"Electronics": "0.125"}).collect()
+    assert [r["revenue"] for r in money] == [D("9.25"), D("123456789.00"), D("-45.00"), D("199998000000.00")]
+    assert [r["profit"] for r in money] == [D("1.16"), D("15432098.63"), D("-5.63"), D("24999750000.00")]
+
+
+def test_preview_of_many_files(spark, tmp_path):
+    from ledgerline.sources import fixture
+    path = fixture.write_sales_csv(spark, "/root/testdata/sf0.001", str(tmp_path / "csv"))
+    prev = csv_ingest.infer_schema_preview(spark, path)
+    assert [r["column"] for r in prev.collect()] == RAW_COLUMNS
+
+
+def test_long_keys_stay_whole(spark):
+    from ledgerline.sources.fixture import padded
+    got = spark.sql(f"SELECT {padded('k', 9)} AS v FROM VALUES (10000000000), (15000001), (7) AS t(k)").collect()
+    assert [r.v for r in got] == ["10000000000", "015000001", "000000007"]

@@ -36,8 +36,8 @@ def test_hot_key_third_of_rows(raw_df):
 
 def test_reports_have_no_expand_and_combine_map_side(raw_df):
     df = validation.add_flags(transform.transform_data(cleaning.clean_data(raw_df([row("T1")]))[0]))
-    for r in [reports.revenue_by_category(df), reports.revenue_by_state(df),
-              reports.monthly_revenue_trend(df), reports.customer_summary(df)]:
+    for r in [f(df, unique_ids=True) for f in (reports.revenue_by_category, reports.revenue_by_state,
+                                               reports.monthly_revenue_trend, reports.customer_summary)]:
         p = plan(r)
         assert "Expand" not in p and "partial_sum" in p
 

@@ -67,3 +67,31 @@ def test_sql_delivery_ignores_negative(spark, raw_df):
     df = validated(raw_df, [row("T1", dd="2024-01-15"), row("T2", dd="2024-01-01")])
     r = sql_reports.run_sql(spark, "sql_delivery", df).first().asDict()
     assert r == {"avg_delivery_days": D("5.00"), "min_delivery_days": 5, "max_delivery_days": 5}
+
+
+def test_orders_are_distinct_ids_by_default(spark, raw_df):
+    clean = validation.add_flags(transform.transform_data(cleaning.parse_dates(
+        cleaning.impute_defaults(raw_df([row("T1"), row("T1", qty=2)])))))
+    frames = [reports.sales_kpis(clean), reports.revenue_by_category(clean), reports.revenue_by_state(clean),
+              reports.monthly_revenue_trend(clean), reports.customer_summary(clean),
+              *[sql_reports.run_sql(spark, n, clean) for n in ("sql_monthly", "sql_best_category", "sql_top_customers", "sql_state")]]
+    assert [f.first()["total_orders"] for f in frames] == [1] * 9
+
+
+def test_reports_are_sorted(spark):
+    from ledgerline.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    for name, key in (("revenue_by_category", "category"), ("revenue_by_state", "state"), ("customer_summary", "customer_id"),
+                      ("top_products", "product_id"), ("top_cities", "city"), ("sql_category_rank", "category"),
+                      ("sql_state", "state"), ("sql_top_customers", "customer_id")):
+        rows = [(-r["total_revenue"], r[key]) for r in catalog.QUERIES[name](spark, sf).collect()]
+        assert rows == sorted(rows), name
+    for name in ("monthly_trend", "sql_monthly"):
+        rows = [(r["order_year"], r["order_month"]) for r in catalog.QUERIES[name](spark, sf).collect()]
+        assert rows == sorted(rows), name
+
+
+def test_one_absurd_row_does_not_end_the_run(raw_df):
+    df = validated(raw_df, [row("T1", qty=2 ** 31 - 1, price="999999999.999999", disc="-999.000000", total="0.00"), row("T2")])
+    k = reports.sales_kpis(df, with_delivery=True).first()
+    assert k["average_order_value"] == (k["total_revenue"] / 2).quantize(D("0.01"))

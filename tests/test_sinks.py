@@ -65,7 +65,7 @@ def test_session_helpers(spark):
     from ledgerline.session import get_session, scratch_path
     assert get_session() is spark
     p = scratch_path(spark, "x")
-    assert "/ledgerline/x-" in p and p.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    assert f"/ledgerline/{spark.sparkContext.applicationId}/x-" in p and p.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
 
 
 def test_cluster_session_needs_shared_checkpoint_dir():
@@ -99,3 +99,18 @@ def test_hot_month_is_split_across_write_tasks(spark, raw_df, tmp_path):
         spark.conf.set(key, old)
     parts = [f for f in (tmp_path / "processed" / "order_year_month=2024-05").iterdir() if f.name.endswith(".parquet")]
     assert 1 < len(parts) <= 8
+
+
+def test_warehouse_widths_are_counted(raw_df):
+    df = validated(raw_df, [row("T1"), row("T2", qty=2000000, price="99999.555"), row("T3", price="123456789.00", total="1.00")])
+    assert jdbc.too_wide(df).first().asDict() == {"unit_price": 1, "discount": 0, "total_amount": 1, "revenue": 1, "profit": 1}
+    assert dict(jdbc.warehouse_frame(df).dtypes)["revenue"] == "decimal(12,2)"
+
+
+def test_command_line_names_the_driver(monkeypatch):
+    from ledgerline.__main__ import load_options, parse_args
+    base = ["--csv", "a", "--processed", "b", "--reports", "c"]
+    assert load_options(parse_args(base)) is None
+    monkeypatch.setenv("LOAD_TO_MYSQL", " True ")
+    opts = load_options(parse_args([*base, "--jdbc-connections", "3"]))
+    assert opts["driver"] == "com.mysql.cj.jdbc.Driver" and opts["num_partitions"] == 3

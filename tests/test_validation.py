@@ -44,13 +44,3 @@ def test_quality_profile_counts_all_members(raw_df):
     assert r == {"missing_customer_id": 1, "missing_payment_method": 1, "missing_category": 1,
                  "missing_city": 1, "negative_quantity": 1, "duplicate_rows_exact": 2,
                  "duplicate_transaction_ids": 3}
-
-
-def test_report_from_observed_counts_equals_data_report(raw_df):
-    for rows in ([row("T1"), row("T2", total="5.00"), row("T3", qty=2, total="21.00"),
-                  row("T5", dd="2024-01-01"), row("T6", dd=None), row("T7", qty=None)],
-                 [row(f"T{i}", total="1.00" if i % 3 else None) for i in range(7)],
-                 []):
-        flagged, rep = validated(raw_df, rows)
-        counts = flagged.agg(*validation.report_counts()).first().asDict()
-        assert validation.report_from_counts(counts, duplicate_ids=0) == rep.first().asDict()
