@@ -56,7 +56,7 @@ def test_quality_held_out(spark, con):
     good, bad = ([r.score for r, y in held if y == k] for k in (1, 0))
     wins = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
     assert wins > 0.85, wins
-    assert len(found) == con.sql("SELECT count(*) FROM documents").fetchone()[0]
+    assert len(found) == con.sql("SELECT count(*) FROM documents").fetchall()[0][0]
 
 
 def test_token_files_against_the_library(spark, texts):
