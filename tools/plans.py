@@ -25,24 +25,23 @@ from ledgerline.sources import csv_ingest, fixture  # noqa: E402
 NOTES = {
     "processed table (fixture view -> dedup with counts -> clean -> transform -> flags)":
         "lineitem and orders are hash-partitioned on the order key for a sort-merge join; "
-        "nation x region is broadcast (25 rows); part/customer are broadcast only because their "
+        "nation x region is broadcast (25 rows); part, and the smaller of orders and customer, are broadcast only because their "
         "scans are under the threshold at this scale. Dedup: hash aggregate on all 13 columns "
         "(partial before the shuffle), then a sort aggregate on the key with partial_min before "
         "its shuffle. The survivors are then rebalanced by order month (the table's partition "
         "column; AQE splits a month above the advisory size), so each write task writes few "
         "month files; CollectMetrics sits above that exchange, in the writing stage, so a re-run "
-        "map stage cannot count the cleaning statistics twice. The top CollectMetrics gathers the "
-        "validation counts in the same stage.",
+        "map stage cannot count the cleaning statistics twice.",
     "revenue by category (over the processed table)":
-        "Only 4 columns read; partial hash aggregate before the shuffle; no Expand because order "
-        "counting uses COUNT on the deduplicated key.",
+        "Only 4 columns read; partial hash aggregate before the shuffle; no Expand, as ids are "
+        "vouched for (unique_ids=True); without that, orders are a distinct count.",
     "revenue by state": "count(DISTINCT customer_id) as the single distinct aggregate: partial "
         "aggregation on (state, customer) before the shuffle, no Expand.",
     "customer summary": "Partial aggregation collapses the guest customer per task; global "
         "range-partitioned sort, written as many files.",
     "top products": "TakeOrderedAndProject: k rows per task reach the driver.",
-    "validation report": "Two flags and the key read; one aggregate (used for frames not known to be "
-        "deduplicated; the pipeline observes these counts during the write instead).",
+    "validation report": "Two flags and the key read; one aggregate with a distinct count of the key, "
+        "measured on the table as written.",
     "sql delivery": "Filter pushed into the parquet scan; one column read.",
     "csv routing": "Text scan split by file blocks; from_csv per line; no shuffle.",
 }
@@ -84,15 +83,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     tmp = tempfile.mkdtemp(prefix="plans-")
     processed = pipeline.process(fixture.sales_raw(spark, sf), stats=Observation("c"), cluster_by_month=True)
-    processed = processed.observe(Observation("v"), *validation.report_counts())
     path = files.write_processed(processed, f"{tmp}/processed", rebalance=False)
     table = spark.read.schema(processed.schema).parquet(path).select(*processed.columns)
     csv = fixture.write_sales_csv(spark, sf, f"{tmp}/csv")
     frames = {
         "processed table (fixture view -> dedup with counts -> clean -> transform -> flags)": processed,
-        "revenue by category (over the processed table)": reports.revenue_by_category(table),
-        "revenue by state": reports.revenue_by_state(table),
-        "customer summary": reports.customer_summary(table),
+        "revenue by category (over the processed table)": reports.revenue_by_category(table, unique_ids=True),
+        "revenue by state": reports.revenue_by_state(table, unique_ids=True),
+        "customer summary": reports.customer_summary(table, unique_ids=True),
         "top products": reports.top_products(table),
         "validation report": validation.validation_report(table),
         "sql delivery": sql_reports.run_sql(spark, "sql_delivery", table),
