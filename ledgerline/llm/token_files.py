@@ -27,6 +27,7 @@ import functools
 import json
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -62,7 +63,8 @@ ODD_WHITE = ("  ", "\n\n", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0
                                                   0x2029, 0x202F, 0x205F, 0x3000)))
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 # --- end of fixed values
-MARKS_AT_END = re.compile(f"(.*[{LATIN}])([!-/:-@\\[-`{{-~]+)", re.S)
+LETTERS = frozenset(re.findall(f"[{LATIN}]", "".join(map(chr, range(0x250)))))
+MARKS = string.punctuation
 
 
 class Encoder:
@@ -79,11 +81,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memory = memory
-        self.known: dict[str, bytes] = {}  # ids of a piece after a space (a line feed stands for itself)
         parts = json.loads(self.tokenizer.to_str())
         before = parts["pre_tokenizer"] or {}
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0]
+        self.feed = array.array("I", feed).tobytes()
+        self.known = {"\n": self.feed}  # ids of a piece after a space (a line feed stands for itself)
         # what holds for cuts holds for byte-level pre-tokens of unchanged text; else texts are encoded whole
         self.cuts = (parts["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
                      and not before["add_prefix_space"] and len(feed) == 1)
@@ -95,40 +97,44 @@ class Encoder:
     def encode_joined(self, pieces: list[str]) -> list[bytes]:
         """Pieces without line feeds, many in one call: a line feed between two pieces is
         a token of its own."""
-        out = []
+        out, feed = [], np.frombuffer(self.feed, "<u4")
         for ids in self.encode(["\n".join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)]):
-            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.feed) * 4).tolist()
+            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == feed) * 4).tolist()
             out += [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])]
         return out
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces that aren't known; marks after a word are encoded by themselves."""
-        cuts = {p: cut.groups() for p in pieces if (cut := MARKS_AT_END.fullmatch(p))}
-        plain = {p for p in pieces if p not in cuts} | {word for word, _ in cuts.values() if word not in self.known}
+        words = {p: p.rstrip(MARKS) for p in pieces if p[-1:] in MARKS}
+        words = {p: word for p, word in words.items() if word[-1:] in LETTERS}
+        plain = pieces.difference(words) | set(words.values()).difference(self.known)
         fed = [p for p in plain if p[0] == "\n"]
         spaced = [p for p in plain if p[0] != "\n"]
-        marks = list({m for _, m in cuts.values()})
-        self.known.update(zip(fed, self.encode(fed)))
+        after_feed = self.encode_joined([p[1:] for p in fed])
+        self.known.update((p, self.feed + ids) for p, ids in zip(fed, after_feed))
         self.known.update(zip(spaced, self.encode_joined([" " + p for p in spaced])))
+        marks = list({p[len(word):] for p, word in words.items()})
         of_mark = dict(zip(marks, self.encode_joined(marks)))
-        self.known.update((p, self.known[word] + of_mark[mark]) for p, (word, mark) in cuts.items())
+        self.known.update((p, self.known[word] + of_mark[p[len(word):]]) for p, word in words.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > self.memory:
-            self.known.clear()
-        firsts, rests, new = [], [], set()
-        for text in texts:
+            self.known = {"\n": self.feed}
+        firsts, rests, whole, new = [], [], {}, set()
+        for i, text in enumerate(texts):
             if not self.cuts or not text or text[0] in " \n" or text[-1] == " " or any(x in text for x in ODD_WHITE):
-                first, rest = text, []  # whole, as it is
+                whole[i] = text
             else:  # only single spaces and line feeds: every piece but the first follows one of them
                 first, *rest = text.replace("\n", " \n").split(" ")
-            new.update(set(rest).difference(self.known))
-            firsts.append(first)
-            rests.append(rest)
+                new.update(set(rest).difference(self.known))
+                firsts.append(first)
+                rests.append(rest)
         if new:
             self.learn(new)
-        return [first + b"".join(map(self.known.__getitem__, rest)) for first, rest in zip(self.encode(firsts), rests)]
+        cut = (first + b"".join(map(self.known.__getitem__, rest)) for first, rest in zip(self.encode_joined(firsts), rests))
+        as_is = dict(zip(whole, self.encode(list(whole.values()))))
+        return [as_is[i] if i in as_is else next(cut) for i in range(len(texts))]
 
 
 @functools.cache
