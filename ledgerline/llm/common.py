@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ TERM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"         # between benchmark terms,
 SYMBOLS = "#*$%&|<>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # --- end of fixed values ---------------------------------------------------------
+HOT_SHARE, HOT_ROWS = 1000, 100   # a key with over one in so many rows, and over so many, is split
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,3 +64,23 @@ def by_ranges(df: DataFrame, *cols: str, part: str = "part") -> DataFrame:
     the number of its range; ranges are ordered like ``cols``. The numbers hold
     only once written, as a re-run may draw other bounds."""
     return df.repartitionByRange(*cols).withColumn(part, F.spark_partition_id())
+
+
+def join_split(left: DataFrame, right: DataFrame, left_key: str, right_key: str, total: int,
+               how: str = "inner") -> DataFrame:
+    """``left`` (of at most ``total`` rows) joined to ``right``, which has one row per
+    key. A key with more than ``total / HOT_SHARE`` rows is dealt over as many salts
+    as that share goes into it, and its row of ``right`` repeated for each. There are
+    fewer than ``HOT_SHARE`` such keys (they are broadcast) and at most twice as many
+    salts, whatever the input. Salts are a function of the row, so re-run tasks agree."""
+    share = max(HOT_ROWS, math.ceil(total / HOT_SHARE))
+    hot = (left.groupBy(F.col(left_key).alias("hot_key")).agg(F.count(F.lit(1)).alias("hot_n"))
+           .filter(F.col("hot_key").isNotNull() & (F.col("hot_n") > share))
+           .select("hot_key", F.ceil(F.col("hot_n") / share).cast("int").alias("hot_salts")))
+    salt = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("hot_salts")), F.lit(0)).cast("int")
+    salts = F.sequence(F.lit(0), F.coalesce("hot_salts", F.lit(1)) - 1)
+    dealt = left.join(F.broadcast(hot), F.col(left_key) == F.col("hot_key"), "left").select(*left.columns, salt.alias("salt"))
+    copied = (right.join(F.broadcast(hot), F.col(right_key) == F.col("hot_key"), "left")
+              .select(*right.columns, F.explode(salts).alias("right_salt")))
+    return (dealt.join(copied, (F.col(left_key) == F.col(right_key)) & (F.col("salt") == F.col("right_salt")), how)
+            .drop("salt", "right_salt"))

@@ -20,7 +20,8 @@ thousands of near copies yields thousands of links, not millions. A bucket over
 ``BLOCK`` rows is cut into blocks, and each pair of blocks is a bucket of its
 own: nothing is dropped, and no task gets an unbounded group. Components are
 found by alternating large and small stars, joins whose result is written to
-the shared folder in each round. The driver gets one 64 x 64 matrix and
+the shared folder in each round. The middle of a star, or a fingerprint, with
+over a thousandth of all rows is salted in its joins. The driver gets one 64 x 64 matrix and
 ``SAMPLE`` fingerprints, which decide only the cost.
 
 Defined results: a null or empty text has fingerprint zero, linked like any
@@ -297,9 +298,11 @@ def connected(edges: DataFrame) -> DataFrame:
     changes. Each round is written, so no round's lineage outlives it."""
     spark = edges.sparkSession
 
-    def hung(pairs: DataFrame) -> DataFrame:
-        """Pairs (up, down) to (up, down, least): with the least ``down`` of each ``up``."""
-        return pairs.join(pairs.groupBy("up").agg(F.min("down").alias("least")), "up")
+    def hung(pairs: DataFrame, most: int) -> DataFrame:
+        """Pairs (up, down), at most ``most``, to (up, down, least): with the least
+        ``down`` of each ``up``. The middle of a great star is split."""
+        least = pairs.groupBy(F.col("up").alias("of")).agg(F.min("down").alias("least"))
+        return C.join_split(pairs, least, "up", "of", most).drop("of")
 
     def state(path: str) -> tuple:
         return tuple(pairs(path).agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first())
@@ -313,9 +316,10 @@ def connected(edges: DataFrame) -> DataFrame:
         now = pairs(path)
         both = now.select(F.col("node").alias("up"), F.col("root").alias("down")).unionByName(
             now.select(F.col("root").alias("up"), F.col("node").alias("down")))
-        large = (hung(both).filter("down > up")
+        most = 2 * before[0]
+        large = (hung(both, most).filter("down > up")
                  .select(F.col("down").alias("up"), F.least("up", "least").alias("down")).distinct())
-        small = (hung(large).select(F.inline(F.array(
+        small = (hung(large, most).select(F.inline(F.array(
             F.struct(F.col("up").alias("node"), F.col("least").alias("root")),
             F.struct(F.col("down").alias("node"), F.col("least").alias("root"))))).filter("node != root").distinct())
         following = C.write_scratch(small, "links")
@@ -340,7 +344,8 @@ def assigned(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     roots = connected(links(in_blocks(filed, block), max_bits))
     of_class = (classes.join(roots, F.col("rep") == F.col("node"), "left")
                 .select(F.col("fingerprint").alias("f"), F.coalesce("root", "rep").alias("component_id")))
-    return (prints.join(of_class, F.col("fingerprint") == F.col("f"), "left")
+    # a fingerprint with a great many copies is split
+    return (C.join_split(prints, of_class, "fingerprint", "f", prints.count(), "left")
             .select("doc_id", "fingerprint", "component_id"))
 
 
@@ -354,8 +359,10 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     kept = C.written(kept, "kept")
     rows = docs.select(F.struct("*").alias("row"), "doc_id")
     # ids that are their component's least are kept; texts of null ids are looked at again
-    with_id = (rows.join(kept.filter("not k_null").select("k_doc").distinct(), F.col("doc_id") == F.col("k_doc"))
-               .groupBy("doc_id").agg(F.first("row").alias("row")).select("row"))
+    # (rows of one id are reduced to one before the shuffle)
+    with_id = (rows.filter("doc_id is not null").groupBy("doc_id").agg(F.first("row").alias("row"))
+               .join(kept.filter("not k_null").select("k_doc").distinct(), F.col("doc_id") == F.col("k_doc"))
+               .select("row"))
     no_id = (rows.filter("doc_id is null").withColumn("print", fingerprints("row.text", shingle))
              .join(kept.filter("k_null").select("k_print"), F.col("print") == F.col("k_print"))
              .groupBy("print").agg(F.first("row").alias("row")).select("row"))
