@@ -159,7 +159,8 @@ def token_lists(path: str, end_id: int = END_ID, text: str = "text") -> Column:
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> str:
     """Tokenise ``docs`` (doc_id, text) into ``<path>/tokens`` and ``<path>/index``."""
     spark = docs.sparkSession
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    by = ("doc_id", F.xxhash64("text"))  # the second spreads an id that very many rows share
+    ordered = docs.select("doc_id", "text").repartitionByRange(*by).sortWithinPartitions(*by, "text")
     rows = (ordered.select("doc_id", token_lists(tokenizer_path, end_id).alias("tokens"))
             .select(F.monotonically_increasing_id().alias("row_no"), "doc_id",
                     F.size("tokens").cast("bigint").alias("n_tokens"), "tokens"))
