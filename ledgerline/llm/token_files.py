@@ -43,7 +43,7 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
-CACHE = 850_000   # pieces remembered by a Python worker
+CACHE = 700_000   # pieces remembered by a Python worker
 STEP = 100          # documents encoded together
 JOINED = 256        # pieces encoded in one call
 
