@@ -38,7 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an exact match of a benchmark window."""
+    """Documents without an exact match of a benchmark window. Proximity matches are not
+    acted on; op10_proximity reports them."""
     return decontaminate.clean_documents(docs, C.table(spark, sf_dir, "benchmark"))
 
 

@@ -136,13 +136,25 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact matches; its SQL twin has no others."""
     found = decontaminate.summary(decontaminate.scan(C.table(spark, sf, "documents").select("doc_id", "text"),
-                                                     C.table(spark, sf, "benchmark")))
+                                                     C.table(spark, sf, "benchmark"), near=False))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
                         "contaminated")
 
 
+def op10_proximity(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact and proximity matches."""
+    found = decontaminate.summary(decontaminate.scan(C.table(spark, sf, "documents").select("doc_id", "text"),
+                                                     C.table(spark, sf, "benchmark")))
+    digest = lambda ids: F.sha2(F.array_join(ids, ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        digest("item_ids").alias("items_sha256"), "n_near",
+                        F.size("near_ids").cast("bigint").alias("n_near_items"),
+                        digest("near_ids").alias("near_items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -154,4 +166,5 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op10_proximity": op10_proximity,
 }

@@ -1,9 +1,11 @@
-"""Proximity matches against their definition."""
+"""Proximity matches against their definition, and in a registered query."""
 
 import math
 import random
+import re
 
 from ledgerline.llm import decontaminate
+from ledgerline.llm import queries as Q
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
 
@@ -62,3 +64,14 @@ def test_against_the_definition(spark):
     for i, t in docs:
         expected = sorted((s, len(w)) for w, s in slow_near(t.split(), windows))
         assert sorted((m["start"], m["size"]) for m in got[i].near) == expected, t
+
+
+def test_registered_query_returns_proximity_matches(spark, tmp_path):
+    path = str(tmp_path)
+    spark.createDataFrame([(1, ITEM)], "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+    texts = [(1, ITEM), (2, re.sub("delta", "other", ITEM)), (3, "nothing of it")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{path}/documents.parquet")
+    got = {r.doc_id: r for r in Q.QUERIES["op10_proximity"](spark, path).collect()}
+    assert (got[1].n_hit, got[1].n_near, got[1].contaminated) == (10, 0, True)
+    assert got[2].n_hit == 0 and got[2].n_near > 0 and got[2].n_near_items == 1 and not got[2].contaminated
+    assert got[3].n_near == got[3].n_near_items == 0
