@@ -33,8 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one of the least id."""
-    return simhash.one_of_each(docs)
+    """One document of each SimHash component: the one of the least id. Ids may repeat
+    with different texts: a text goes only if a near duplicate of it stays."""
+    return simhash.one_of_each(docs, one_per_id=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

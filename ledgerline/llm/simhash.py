@@ -26,7 +26,8 @@ over a thousandth of all rows is salted in its joins. The driver gets one 64 x 6
 
 Defined results: a null or empty text has fingerprint zero, linked like any
 other; fewer words than a shingle are one shingle; repeated rows and copies are
-one class; rows with a null id take part in no link and get the component of
+one class; an id with several texts is in the classes of them all, and does not
+link them; rows with a null id take part in no link and get the component of
 their fingerprint's class, null if no row with an id has it; an empty table
 gives an empty result; other columns are ignored by ``components`` and kept by
 ``one_of_each``.
@@ -337,33 +338,60 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     return assigned(prints, max_bits, block)
 
 
+def class_components(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """``classes`` (fingerprint, rep) with ``root``, the least fingerprint that can be
+    reached: the node of a class is its fingerprint, as classes can share an id."""
+    nodes = classes.select("fingerprint", F.col("fingerprint").alias("rep"))
+    roots = connected(links(in_blocks(bucket_rows(nodes, plan(classes, max_bits)), block), max_bits))
+    return (classes.join(roots, F.col("fingerprint") == F.col("node"), "left").drop("node")
+            .withColumn("root", F.coalesce("root", "fingerprint")))
+
+
 def assigned(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     classes = C.written(prints.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("rep")),
                         "fingerprint-classes")
-    filed = bucket_rows(classes, plan(classes, max_bits))
-    roots = connected(links(in_blocks(filed, block), max_bits))
-    of_class = (classes.join(roots, F.col("rep") == F.col("node"), "left")
-                .select(F.col("fingerprint").alias("f"), F.coalesce("root", "rep").alias("component_id")))
+    rooted = C.written(class_components(classes, max_bits, block), "rooted-classes")
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("component_id"))
+    of_class = (C.join_split(rooted, least, "root", "r", rooted.count())
+                .select(F.col("fingerprint").alias("f"), "component_id"))
     # a fingerprint with a great many copies is split
     return (C.join_split(prints, of_class, "fingerprint", "f", prints.count(), "left")
             .select("doc_id", "fingerprint", "component_id"))
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id (one of them if the
-    row is repeated); of rows that only share a null id, one per fingerprint."""
-    found = components(docs, shingle, max_bits)
-    kept = (found.filter("component_id is null or doc_id = component_id")
-            .select(F.col("doc_id").alias("k_doc"), F.col("fingerprint").alias("k_print"),
-                    F.col("component_id").isNull().alias("k_null")).distinct())
-    kept = C.written(kept, "kept")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id")
-    # ids that are their component's least are kept; texts of null ids are looked at again
-    # (rows of one id are reduced to one before the shuffle)
-    with_id = (rows.filter("doc_id is not null").groupBy("doc_id").agg(F.first("row").alias("row"))
-               .join(kept.filter("not k_null").select("k_doc").distinct(), F.col("doc_id") == F.col("k_doc"))
-               .select("row"))
-    no_id = (rows.filter("doc_id is null").withColumn("print", fingerprints("row.text", shingle))
-             .join(kept.filter("k_null").select("k_print"), F.col("print") == F.col("k_print"))
-             .groupBy("print").agg(F.first("row").alias("row")).select("row"))
-    return with_id.unionByName(no_id).select("row.*")
+def least_row(row: DataFrame) -> Column:
+    """The least of the rows ``row``, the same in every run; maps have no order."""
+    fields = row.schema["row"].dataType.fields
+    if not any("map<" in f.dataType.simpleString() for f in fields):
+        return F.min("row").alias("row")
+    order = [F.to_json(F.struct(F.col("row")[f.name])) if "map<" in f.dataType.simpleString() else F.col("row")[f.name]
+             for f in fields]
+    return F.min_by("row", F.struct(*order)).alias("row")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, one_per_id: bool = True) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, of its texts in the
+    component that of the least fingerprint and hash, the least row if it is repeated;
+    of rows that only share a null id, one per fingerprint. An id with texts that are
+    no near duplicates can be the least of several components: of these it keeps the
+    one of the least fingerprint, or with ``one_per_id=False`` each."""
+    key = [F.col("doc_id"), F.xxhash64(C.text_or_empty()).alias("text_hash")]
+    prints = C.written(docs.select(*key, fingerprints("text", shingle).alias("fingerprint")), "fingerprints")
+    classes = C.written(prints.filter("doc_id is not null").groupBy("fingerprint")
+                        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
+                        .select("fingerprint", F.col("least.doc_id").alias("rep"), F.col("least.text_hash").alias("text_hash")),
+                        "fingerprint-classes")
+    best = F.min(F.struct(F.col("rep").alias("k_doc"), "fingerprint", F.col("text_hash").alias("k_hash")))
+    kept = class_components(classes, max_bits).groupBy("root").agg(best.alias("k")).select("k.*")
+    if one_per_id:
+        kept = kept.groupBy("k_doc").agg(F.min(F.struct("fingerprint", "k_hash")).alias("k")).select("k_doc", "k.*")
+    # texts of null ids that no row with an id has
+    no_id = (prints.filter("doc_id is null").groupBy("doc_id", "fingerprint").agg(F.min("text_hash").alias("k_hash"))
+             .join(classes.select("fingerprint"), "fingerprint", "left_anti")
+             .select(F.col("doc_id").alias("k_doc"), "fingerprint", "k_hash"))
+    kept = C.written(kept.unionByName(no_id).drop("fingerprint"), "kept")
+    # rows of one id and text are reduced to one before the join
+    rows = docs.select(F.struct("*").alias("row"), *key)
+    return (rows.groupBy("doc_id", "text_hash").agg(least_row(rows))
+            .join(kept, F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("text_hash") == F.col("k_hash")))
+            .select("row.*"))
