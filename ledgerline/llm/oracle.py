@@ -144,9 +144,36 @@ SELECT id AS record_id, key AS url, status, response_id, md5(head) AS head_md5,
 FROM h
 """
 
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), p AS (
+  SELECT x.rid AS a, y.rid AS b, count(*) AS shared FROM s x JOIN s y ON x.shingle = y.shingle AND x.rid < y.rid GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), reach AS (
+  SELECT rid AS a, rid AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a
+), c AS (
+  SELECT reach.a AS rid, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = reach.b GROUP BY 1
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""
+
 ORACLE: dict[str, str] = {
     "op6_warc_revisits": OP6,
     "op7_chat_formatting": OP7,
     "op9_mixing": OP9,
     "op10_decontamination": OP10,
+    "op13_minhash": OP13,
 }

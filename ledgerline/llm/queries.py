@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_events, decontaminate, language, mixing, ngram_lm, quality, rules, simhash,
+from ledgerline.llm import (chat_events, decontaminate, language, minhash, mixing, ngram_lm, quality, rules, simhash,
                             token_files, warc)
 from ledgerline.llm import common as C
 from ledgerline.session import scratch_path
@@ -155,6 +155,10 @@ def op10_proximity(spark: SparkSession, sf: str) -> DataFrame:
                         digest("near_ids").alias("near_items_sha256"), "contaminated")
 
 
+def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.components(documents(spark, sf).select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -167,4 +171,5 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
+    "op13_minhash": op13_minhash,
 }
