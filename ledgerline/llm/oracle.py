@@ -144,6 +144,72 @@ SELECT id AS record_id, key AS url, status, response_id, md5(head) AS head_md5,
 FROM h
 """
 
+OP12 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+), damage AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                       lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM conversations, crc_table
+), kept AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM damage WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS said
+  FROM kept
+), r AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                 ELSE 'sound' END AS fault, left(role, 1) AS initial,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id
+), ins(a, b, n, said) AS (
+  VALUES (0, 0, 0, []::VARCHAR[]), (0, 2, 1, ['user:']), (0, 3, 2, ['user:', 'assistant:']), (1, 1, 0, []), (1, 2, 1, ['user:']),
+    (1, 3, 2, ['user:', 'assistant:']), (2, 2, 0, []), (2, 3, 1, ['assistant:']), (3, 3, 0, []), (3, 2, 1, ['user:'])
+), ed(letter, b, c, initial, price) AS (
+  VALUES ('D', 0, 0, '', 2), ('D', 1, 1, '', 2), ('D', 2, 2, '', 2), ('D', 3, 3, '', 2), ('K', 0, 1, 's', 0), ('K', 0, 2, 'u', 0),
+    ('K', 1, 2, 'u', 0), ('K', 3, 2, 'u', 0), ('K', 2, 3, 'a', 0), ('R', 0, 2, '', 1), ('R', 1, 2, '', 1), ('R', 3, 2, '', 1),
+    ('R', 2, 3, '', 1)
+), best(conv_id, pos, state, cost, audit, said) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT), CAST('' AS VARCHAR), CAST([] AS VARCHAR[]) FROM counted
+  UNION ALL
+  SELECT best.conv_id, r.pos, ed.c,
+    best.cost + 5 * ins.n + ed.price + CASE WHEN ed.letter <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END AS new_cost,
+    best.audit || repeat('I', ins.n) || ed.letter AS new_audit,
+    list_concat(list_concat(best.said, ins.said), CASE ed.letter WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text]
+      ELSE [CASE ed.c WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || r.text] END)
+  FROM best JOIN r ON r.conv_id IS NOT DISTINCT FROM best.conv_id AND r.pos = best.pos + 1
+    JOIN ins ON ins.a = best.state JOIN ed ON ed.b = ins.b
+  WHERE (ed.letter = 'D' OR r.fault IN ('truncated', 'sound')) AND (ed.letter <> 'K' OR ed.initial = r.initial)
+  QUALIFY row_number() OVER (PARTITION BY best.conv_id, ed.c ORDER BY new_cost, new_audit) = 1
+), last AS (
+  SELECT best.conv_id, cost + 5 * m AS cost, audit || repeat('I', m) AS audit,
+    list_concat(said, CASE m WHEN 0 THEN [] WHEN 1 THEN ['assistant:'] ELSE ['user:', 'assistant:'] END) AS said
+  FROM (SELECT *, CASE state WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS m FROM best) best
+  JOIN counted ON counted.conv_id IS NOT DISTINCT FROM best.conv_id AND counted.n = best.pos
+  QUALIFY row_number() OVER (PARTITION BY best.conv_id ORDER BY cost + 5 * m, audit || repeat('I', m)) = 1
+)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN last ON last.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 OP13 = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -175,5 +241,6 @@ ORACLE: dict[str, str] = {
     "op7_chat_formatting": OP7,
     "op9_mixing": OP9,
     "op10_decontamination": OP10,
+    "op12_turn_repair": OP12,
     "op13_minhash": OP13,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (chat_events, decontaminate, language, minhash, mixing, ngram_lm, quality, rules, simhash,
-                            token_files, warc)
+                            token_files, turns, warc)
 from ledgerline.llm import common as C
 from ledgerline.session import scratch_path
 
@@ -155,6 +155,29 @@ def op10_proximity(spark: SparkSession, sf: str) -> DataFrame:
                         digest("near_ids").alias("near_items_sha256"), "contaminated")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with the faults that the crc32 of ``conv_id:turn`` names."""
+    name = F.concat(turns.space_for_null("conv_id_text"), F.lit(":"), turns.space_for_null("turn_text"))
+    text, role = turns.space_for_null("text"), turns.space_for_null("role")
+    rows = (conversations.select("conv_id", "turn", "role", "text", F.col("conv_id").cast("string").alias("conv_id_text"),
+                                 F.col("turn").cast("string").alias("turn_text"))
+            .withColumn("fault", F.crc32(name.cast("binary")) % 20))
+    copies = F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))
+    return (rows.filter("fault != 0")
+            .select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(role).alias("role"),
+                    F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+                    .otherwise(text).alias("text"), F.explode(copies).alias("copy")).drop("copy"))
+
+
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = C.table(spark, sf, "conversations")
+    found = turns.repair(damaged(rows)).withColumnRenamed("conv_id", "found_id")
+    every = rows.select("conv_id").distinct()
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    none |= {"audit": F.coalesce("audit", F.lit("")), "repaired_sha256": F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))}
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id").withColumns(none)
+
+
 def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.components(documents(spark, sf).select("doc_id", "text"))
 
@@ -171,5 +194,6 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
+    "op12_turn_repair": op12_turn_repair,
     "op13_minhash": op13_minhash,
 }
