@@ -144,6 +144,41 @@ SELECT id AS record_id, key AS url, status, response_id, md5(head) AS head_md5,
 FROM h
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT c.*, cut, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * a // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), parts AS (
+  SELECT lang, a, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, k, w, a, size, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM c WHERE k > 2))
+), longest AS (
+  SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN totals USING (lang) LEFT JOIN longest USING (lang, phrase)
+WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH RECURSIVE crc_table AS (
   SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -241,6 +276,7 @@ ORACLE: dict[str, str] = {
     "op7_chat_formatting": OP7,
     "op9_mixing": OP9,
     "op10_decontamination": OP10,
+    "op11_collocations": OP11,
     "op12_turn_repair": OP12,
     "op13_minhash": OP13,
 }

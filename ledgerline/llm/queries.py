@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_events, decontaminate, language, minhash, mixing, ngram_lm, quality, rules, simhash,
+from ledgerline.llm import (chat_events, collocations, decontaminate, language, minhash, mixing, ngram_lm, quality, rules, simhash,
                             token_files, turns, warc)
 from ledgerline.llm import common as C
 from ledgerline.session import scratch_path
@@ -155,6 +155,10 @@ def op10_proximity(spark: SparkSession, sf: str) -> DataFrame:
                         digest("near_ids").alias("near_items_sha256"), "contaminated")
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf).select("lang", "text"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """``conversations`` with the faults that the crc32 of ``conv_id:turn`` names."""
     name = F.concat(turns.space_for_null("conv_id_text"), F.lit(":"), turns.space_for_null("turn_text"))
@@ -194,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
+    "op11_collocations": op11_collocations,
     "op12_turn_repair": op12_turn_repair,
     "op13_minhash": op13_minhash,
 }
