@@ -54,8 +54,8 @@ TO_BREAK = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 BLANK = re.compile(rb"[ \t\n]")
 BITMAP_BITS = 27
 SLICE = 1 << 22           # bytes of text split at a time
-BLOCK = 1 << 21           # words counted at a time
-VOCABULARY = 1 << 20      # distinct words after which a worker starts a new dictionary
+BLOCK = 1 << 19           # words counted at a time
+VOCABULARY = 1 << 18      # distinct words after which a worker starts a new dictionary
 SALTS = 256
 
 
