@@ -9,13 +9,16 @@ equal to their similarity. ``BAND`` bins in a row are a band, and documents equa
 in a band meet in a bucket: at a similarity of 0.85, 32 bands of 8 let 4 pairs in
 100,000 pass unseen, at 0.9 fewer than 2 in 100 million.
 
-A bucket's rows are not paired with one another. One of them is the centre of a
-star, compared with the others over the full sets; the centre, being done, leaves,
-and buckets whose rows are all in one component by now are finished. Stars go on,
-with other centres, while they at least halve what is left. Then only rows of different
-components remain in a bucket; each row outside of the bucket's largest component
-meets those of the other components. So pairs grow with the rows that could
-still change a component, not with the square of a group.
+A bucket's rows are not paired with one another. One of them, that is in most buckets, is
+the centre of a star, compared with the others over the full sets; the centre, being done,
+leaves, and buckets whose rows are all in one component by now are finished. Stars go on,
+with other centres, while they at least halve what is left. What remains are rows
+of different components that no star has linked, most of them linked to nothing.
+They meet once more in their bucket, in blocks, by 512 bytes each: a bitmap, which
+proves that two small sets have too many hashes apart, and the signature, which for
+large ones agrees in fewer bins than ``SPREAD`` standard deviations under the bound. The
+pairs left are compared over the full sets. So the pairs that leave a task are
+those that are similar, not the square of a group.
 
 Scale: copies collapse to one class (equal sets) before anything is compared, and
 bucket rows carry a number, not a set. Sets are built again from the texts of those
@@ -52,6 +55,8 @@ PERCENT = 85          # of the union that two linked sets share
 BINS, BAND = 256, 8
 BIN_BITS = 8          # BINS == 2 ** BIN_BITS
 SEED = 42
+BLOCK = 2048          # rows of a bucket compared with as many
+SPREAD = 6
 SKETCH = "n_shingles bigint, digest binary, bands array<bigint>"
 
 
@@ -144,10 +149,10 @@ def classes_of(prints: DataFrame) -> DataFrame:
 
 
 def in_buckets(classes: DataFrame) -> DataFrame:
-    """Written: (bucket, node, n, component) for buckets of two classes or more."""
-    filed = classes.select(F.explode("bands").alias("bucket"), "node", "n")
+    """Written: (bucket, band, node, n, component) for buckets of two classes or more."""
+    filed = classes.select(F.posexplode("bands").alias("band", "bucket"), "node", "n")
     shared = (filed.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("b"))
-    return C.written(filed.join(shared, F.col("bucket") == F.col("b")).select("bucket", "node", "n", F.col("node").alias("component")),
+    return C.written(filed.join(shared, F.col("bucket") == F.col("b")).select("bucket", "band", "node", "n", F.col("node").alias("component")),
                      "minhash-buckets")
 
 
@@ -180,24 +185,24 @@ def star_links(filed: DataFrame, items: DataFrame, percent: int = PERCENT) -> Da
     """(a, b): links that span the components of ``filed`` (see the top)."""
     spark = filed.sparkSession
     apart = F.col("component") != F.col("c_component")
-    links, live, left, turn, old = no_links(spark), filed, filed.count(), 0, []
+    links, live, left, old = no_links(spark), filed, filed.count(), []
     while left:
-        turn += 1
-        # the same order in every band, so a group's buckets tend to have the same centre
-        chosen = F.min_by(F.struct("node", "n", "component"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("c")
-        centres = live.groupBy(F.col("bucket").alias("b")).agg(chosen).select(
-            "b", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component"))
+        # the row in most buckets: what a group was copied from, or near it, and the same in all its buckets
+        weights = live.groupBy(F.col("node").alias("w")).agg(F.count(F.lit(1)).alias("weight"))
+        chosen = F.max_by(F.struct("node", "n", "component"), F.struct("weight", F.xxhash64("node"), "node")).alias("c")
+        centres = (live.join(weights, F.col("node") == F.col("w")).groupBy(F.col("bucket").alias("b")).agg(chosen)
+                   .select("b", F.col("c.node").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component")))
         stars = C.join_split(live, centres, "bucket", "b", left).drop("b")
         starred = C.read_written(stars, star_path := C.write_scratch(stars, "minhash-stars"))
         pairs = starred.filter(apart & comparable("n", "c_n", percent)).select("centre", "node").distinct()
         more = links.unionByName(verified(pairs, items, percent))
         links = C.read_written(more, link_path := C.write_scratch(more, "minhash-links"))
-        rest = unfinished(starred.filter("node != centre").select("bucket", "node", "n"), links)
+        rest = unfinished(starred.filter("node != centre").select("bucket", "band", "node", "n"), links)
         live = C.read_written(rest, live_path := C.write_scratch(rest, "minhash-buckets"))
         C.drop_written(spark, star_path, *old)
         old, before, left = [link_path, live_path], left, live.count()
         if left > before / 2:
-            return links.unionByName(verified(cross_pairs(live, percent), items, percent))
+            return links.unionByName(verified(cross_pairs(live, items, percent), items, percent))
     return links
 
 
@@ -215,18 +220,85 @@ def unfinished(rows: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(several, F.col("bucket") == F.col("b")).drop("b")
 
 
-def cross_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """(centre, node): each row outside of its bucket's largest component with the rows of the
-    bucket's other components, once."""
-    largest = (live.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m")).groupBy(F.col("bucket").alias("b"))
-               .agg(F.max_by("component", F.struct("m", "component")).alias("largest")))
-    placed = live.join(largest, F.col("bucket") == F.col("b")).drop("b")
-    few = placed.filter("component != largest").select(
-        F.col("bucket").alias("f_bucket"), F.col("node").alias("centre"), F.col("n").alias("f_n"), F.col("component").alias("f_component"))
-    return (placed.join(few, F.col("bucket") == F.col("f_bucket"))
-            .filter((F.col("component") != F.col("f_component")) & comparable("n", "f_n", percent)
-                    & ((F.col("component") == F.col("largest")) | (F.col("centre") < F.col("node"))))
-            .select("centre", "node").distinct())
+def cross_pairs(live: DataFrame, items: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(centre, node): the pairs of different components in a bucket of ``live`` whose bitmaps and signatures
+    don't rule a link out, each once. Rows meet in numpy within cells of two blocks; only such pairs leave the task."""
+    small = items.join(live.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("of"), pocket("items").alias("sketch"))
+    large = live.groupBy(F.col("bucket").alias("b")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("k"))
+    own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    cells = (live.join(large, F.col("bucket") == F.col("b")).select("bucket", "band", "node", "n", "component", own.alias("own"), F.inline(others))
+             .join(small, F.col("node") == F.col("of")).drop("of"))
+    dealt = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "own")
+    names = ["bucket", "i", "j", "band", "node", "n", "component", "own", "sketch"]
+
+    def met(c: list[np.ndarray]) -> pa.RecordBatch:
+        """``c``: the columns of one cell from ``band`` on, its rows sorted by ``own``."""
+        band, node, n, component, block_of, sketch = c
+        bins, bits = sketch[:, :BINS], np.ascontiguousarray(sketch[:, BINS:]).view(np.uint64)
+        first = int(np.searchsorted(block_of, block_of[0], "right"))
+        left = np.arange(first)
+        right = np.arange(first, len(node)) if first < len(node) else left   # two blocks, or one with itself
+        found = []
+        for at in range(0, len(left), 16):
+            x = left[at:at + 16]
+            low, high = np.minimum(n[x, None], n[None, right]), np.maximum(n[x, None], n[None, right])
+            i, j = np.nonzero((component[x, None] != component[None, right]) & (100 * low >= percent * high)
+                              & ((right is not left) | (x[:, None] < right[None, :])))
+            for s in range(0, len(i), 1 << 14):
+                a, b = x[i[s:s + (1 << 14)]], right[j[s:s + (1 << 14)]]
+                # a bit in one bitmap only needs a hash in one set only
+                apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+                near = (100 + percent) * apart <= (100 - percent) * (n[a] + n[b])
+                a, b = a[near], b[near]
+                same = bins[a] == bins[b]
+                bands_met = same.reshape(len(a), BINS // BAND, BAND).all(axis=2).argmax(axis=1)
+                # in the first band they share; if they no longer meet there, they have met a centre's way
+                ok = (same.sum(axis=1) >= least_agreement(np.minimum(n[a], n[b]), percent)) & (bands_met == band[a])
+                found.append((node[a[ok]], node[b[ok]]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["centre", "node"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by cell; a batch's last cell may go on in the next."""
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            columns = [np.asarray(batch.column(k)) for k in range(len(names) - 1)]
+            columns.append(np.frombuffer(b"".join(batch.column(len(names) - 1).to_pylist()), np.uint8).reshape(-1, 2 * BINS))
+            if held is not None:
+                columns = [np.concatenate(pair) for pair in zip(held, columns)]
+            if not len(columns[0]):
+                continue
+            key = np.stack(columns[:3])
+            cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            for start, end in zip([0, *cuts[:-1]], cuts):
+                yield met([c[start:end] for c in columns[3:]])
+            held = [c[cuts[-1] if len(cuts) else 0:] for c in columns]
+        if held is not None and len(held[0]):
+            yield met([c for c in held[3:]])
+    return dealt.select(*names).mapInArrow(walk, "centre bigint, node bigint").distinct()
+
+
+def pocket(items: str) -> Column:
+    """The lowest byte of each bin of a set, then a bitmap of 8 * ``BINS`` bits of its hashes."""
+    @F.arrow_udf("binary")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for s in batch:
+                hashes = np.asarray(s.values).view(np.uint64)
+                bits = np.zeros(8 * BINS, np.uint8)
+                bits[(hashes % np.uint64(8 * BINS)).astype(np.int64)] = 1
+                out.append(signature(hashes).astype(np.uint8).tobytes() + np.packbits(bits).tobytes())
+            yield pa.array(out, pa.binary())
+    return of(F.col(items))
+
+
+def least_agreement(n: np.ndarray, percent: int) -> np.ndarray:
+    """Equal bins below which sets of ``n`` hashes or more don't link: ``SPREAD`` standard deviations under what
+    the bound leads to expect. Few hashes fill the bins many times over, so they count, not the bins."""
+    share = percent / 100
+    return BINS * (share - SPREAD * np.sqrt(share * (1 - share) / np.minimum(BINS, n)))
 
 
 def rooted(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:

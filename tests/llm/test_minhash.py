@@ -57,21 +57,25 @@ def test_components_equal_all_pairs(spark, seed, sizes, copies):
     assert found(M.components(spark.createDataFrame(docs, "doc_id bigint, text string"))) == slow_components(docs)
 
 
-def test_cross_pairs_are_exact_where_stars_do_not_pay(spark):
-    """Every class in one bucket: the last step must meet all pairs of components, once."""
-    docs = families(3, 6, [40, 60], [4])
-    classes = M.classes_of(M.sketched(spark.createDataFrame(docs, "doc_id bigint, text string")))
-    one = classes.select(F.lit(7).cast("bigint").alias("bucket"), "node", "n", F.col("node").alias("component"))
-    items = M.sets_of(spark.createDataFrame(docs, "doc_id bigint, text string"), classes, one)
-    pairs = [tuple(sorted(r)) for r in M.cross_pairs(one, 0).collect()]
-    n = classes.count()
-    assert len(pairs) == len(set(pairs)) == n * (n - 1) // 2
+@pytest.mark.parametrize("block", [2048, 7])
+def test_cross_pairs_hold_every_link(spark, block):
+    """What stars leave: all links between rows of a bucket, in blocks of any size, each pair once."""
+    docs = families(3, 8, [40, 60, 300], [6])
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    classes = M.classes_of(M.sketched(df))
+    filed = M.in_buckets(classes)
+    items = M.sets_of(df, classes, filed)
     by_id = {r.node: r.rep for r in classes.collect()}
     sets = {i: slow_set(t) for i, t in docs}
-    want = {tuple(sorted((by_id[a], by_id[b]))) for a, b in pairs
-            if 100 * len(sets[by_id[a]] & sets[by_id[b]]) >= 85 * len(sets[by_id[a]] | sets[by_id[b]])}
-    got = {tuple(sorted((by_id[r.a], by_id[r.b]))) for r in M.verified(M.cross_pairs(one, 85), items, 85).collect()}
-    assert got == want and want
+    buckets: dict = {}
+    for r in filed.collect():
+        buckets.setdefault(r.bucket, []).append(by_id[r.node])
+    linked = {(min(a, b), max(a, b)) for rows in buckets.values() for a in rows for b in rows
+              if a != b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    pairs = M.cross_pairs(filed, items, 85, block)
+    got = [tuple(sorted((by_id[r.centre], by_id[r.node]))) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and linked <= set(got) and linked
+    assert {tuple(sorted((by_id[r.a], by_id[r.b]))) for r in M.verified(pairs, items, 85).collect()} == linked
 
 
 def test_signature_estimates_the_similarity():
