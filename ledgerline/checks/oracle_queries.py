@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerline.checks.oracle_sql import BASE, CLEAN, DEDUP, TRANSFORM, VALIDATE, avg2, initcap, money, pct2, with_stage
+from ledgerline.checks.oracle_sql import BASE, CLEAN, DEDUP, TRANSFORM, VALIDATE, amount, avg2, initcap, money, pct2, with_stage
 from ledgerline.checks.oracle_sql import _city_alias  # noqa: PLC2701 - shared CASE text
+from ledgerline.checks.oracle_sql import _key as padded_key  # noqa: PLC2701 - shared key text
+from ledgerline.functions.columns import DEFAULT_MARGIN
 from ledgerline.schema import RAW_COLUMNS
+from ledgerline.sinks.jdbc import WAREHOUSE_TEXT_WIDTHS
 from ledgerline.sources import fixture as fx
 
 _raw13 = ", ".join(RAW_COLUMNS)
@@ -14,12 +17,18 @@ _tokens = "[" + ", ".join(f"'{t}'" for t in fx.GARBAGE_TOKENS) + "]"
 CSV = f"""
 , csv_src AS (
   SELECT *, {_tokens}[(l_linenumber % {len(fx.GARBAGE_TOKENS)}) + 1] AS token,
-    l_orderkey % {fx.CSV_QTY_TOKEN} = 0 OR l_orderkey % {fx.CSV_PRICE_TOKEN} = 0
-      OR l_orderkey % {fx.CSV_SHORT} = 0 OR l_orderkey % {fx.CSV_LONG} = 0 AS malformed
+    l_orderkey % {fx.CSV_SHORT} = 0 AS too_few,
+    l_orderkey % {fx.CSV_SHORT} <> 0 AND l_orderkey % {fx.CSV_LONG} = 0 AS too_many,
+    l_orderkey % {fx.CSV_SHORT} <> 0 AND l_orderkey % {fx.CSV_LONG} <> 0 AS fields_ok,
+    fields_ok AND (l_orderkey % {fx.CSV_QTY_TOKEN} = 0 OR l_orderkey % {fx.CSV_PRICE_TOKEN} = 0) AS not_a_number,
+    fields_ok AND l_orderkey % {fx.CSV_QTY_TOKEN} <> 0 AND l_orderkey % {fx.CSV_BLANK_QTY} <> 0
+      AND l_orderkey % {fx.CSV_DECIMAL_QTY} = 0 AS not_an_integer,
+    fields_ok AND l_orderkey % {fx.CSV_PRICE_TOKEN} <> 0 AND l_orderkey % {fx.CSV_WIDE_PRICE} = 0 AS too_wide,
+    too_few OR too_many OR not_a_number OR not_an_integer OR too_wide AS malformed
   FROM fx_keyed
 ),
 csv_fields AS (
-  SELECT l_orderkey, malformed,
+  SELECT l_orderkey, malformed, too_few, too_many, not_a_number, not_an_integer, too_wide,
     coalesce(transaction_id, '') AS f_transaction_id,
     coalesce(customer_id, '') AS f_customer_id,
     coalesce(product_id, '') AS f_product_id,
@@ -27,8 +36,9 @@ csv_fields AS (
     CASE WHEN l_orderkey % {fx.CSV_QUOTED_CITY} = 0 THEN '{fx.QUOTED_CITY}' ELSE coalesce(city, '') END AS f_city,
     coalesce(state, '') AS f_state,
     CASE WHEN l_orderkey % {fx.CSV_QTY_TOKEN} = 0 THEN token WHEN l_orderkey % {fx.CSV_BLANK_QTY} = 0 THEN ''
-         ELSE coalesce(CAST(quantity AS VARCHAR), '') END AS f_quantity,
-    CASE WHEN l_orderkey % {fx.CSV_PRICE_TOKEN} = 0 THEN token ELSE coalesce(CAST(unit_price AS VARCHAR), '') END AS f_unit_price,
+         WHEN l_orderkey % {fx.CSV_DECIMAL_QTY} = 0 THEN '{fx.DECIMAL_QTY}' ELSE coalesce(CAST(quantity AS VARCHAR), '') END AS f_quantity,
+    CASE WHEN l_orderkey % {fx.CSV_PRICE_TOKEN} = 0 THEN token WHEN l_orderkey % {fx.CSV_WIDE_PRICE} = 0 THEN '{fx.WIDE_PRICE}'
+         ELSE coalesce(CAST(unit_price AS VARCHAR), '') END AS f_unit_price,
     coalesce(CAST(discount AS VARCHAR), '') AS f_discount,
     coalesce(CAST(total_amount AS VARCHAR), '') AS f_total_amount,
     coalesce(payment_method, '') AS f_payment_method,
@@ -37,7 +47,8 @@ csv_fields AS (
   FROM csv_src
 ),
 csv_lines AS (
-  SELECT l_orderkey, malformed, f_transaction_id, f_quantity, f_unit_price,
+  SELECT l_orderkey, malformed, too_few, too_many, not_a_number, not_an_integer, too_wide,
+    f_transaction_id, f_quantity, f_unit_price,
     concat_ws(',', f_transaction_id, f_customer_id, f_product_id,
       f_category,
       CASE WHEN l_orderkey % {fx.CSV_QUOTED_CITY} = 0 THEN '"' || f_city || '"' ELSE f_city END,
@@ -89,15 +100,78 @@ FROM validated GROUP BY category"""
 _kpi_cols = ["total_revenue", "total_orders", "average_order_value", "total_customers",
              "average_delivery_days"]
 
+_kinds = [(k, k.removesuffix("_fields")) for k in ("too_few_fields", "too_many_fields", "not_a_number", "not_an_integer", "too_wide")]
+_INGEST = ", ".join([_b("count(*)") + " AS total_records", _b("count(*) FILTER (malformed)") + " AS malformed_records",
+                     _b("count(*) FILTER (NOT malformed)") + " AS usable_records",
+                     *[_b(f"count(*) FILTER ({flag})") + f" AS {kind}_records" for kind, flag in _kinds],
+                     "CAST(0 AS BIGINT) AS unreadable_records"])
+
+# Every field of the CSV text, its class, and the join of the classes.
+_TYPES = (", field_values AS (SELECT unnest([" + ", ".join(f"'{c}'" for c in RAW_COLUMNS) + "]) AS column_name, unnest(["
+          + ", ".join("CASE WHEN too_few THEN NULL ELSE nullif(f_delivery_date, '') END" if c == "delivery_date"
+                      else f"nullif(f_{c}, '')" for c in RAW_COLUMNS) + """]) AS v FROM csv_fields),
+classed AS (
+  SELECT column_name, v, CASE WHEN v IS NULL THEN NULL
+    WHEN regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS INTEGER) IS NOT NULL THEN 'int'
+    WHEN regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL THEN 'bigint'
+    WHEN regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') THEN 'decimal'
+    WHEN regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN 'double'
+    WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_strptime(v, '%Y-%m-%d') IS NOT NULL THEN 'date'
+    ELSE 'string' END AS kind
+  FROM field_values
+), merged AS (
+  SELECT column_name, count(*) FILTER (v IS NULL) AS n_null, count(v) AS n,
+    count(*) FILTER (kind = 'int') AS n_int, count(*) FILTER (kind = 'bigint') AS n_bigint,
+    count(*) FILTER (kind = 'decimal') AS n_decimal, count(*) FILTER (kind = 'double') AS n_double,
+    count(*) FILTER (kind = 'date') AS n_date, count(*) FILTER (kind = 'string') AS n_string,
+    max(length(ltrim(regexp_extract(v, '^[+-]?([0-9]*)', 1), '0'))) FILTER (kind IN ('int', 'bigint', 'decimal')) AS whole,
+    max(length(regexp_extract(v, '[.]([0-9]*)$', 1))) FILTER (kind IN ('int', 'bigint', 'decimal')) AS behind
+  FROM classed GROUP BY column_name
+)
+SELECT column_name, CASE WHEN n = 0 THEN 'null' WHEN n_date = n THEN 'date' WHEN n_string > 0 OR n_date > 0 THEN 'string'
+    WHEN n_double > 0 OR n_decimal > 0 AND whole + behind > 38 THEN 'double'
+    WHEN n_decimal > 0 THEN 'decimal(' || greatest(1, whole + behind) || ',' || behind || ')'
+    WHEN n_bigint > 0 THEN 'bigint' ELSE 'int' END AS inferred_type,
+  n_null, n_int, n_bigint, n_decimal, n_double, n_date, n_string
+FROM merged""")
+
+_type_case = ("CASE " + " ".join(f"WHEN p_type = '{k}' THEN '{v}'" for k, v in fx.PART_TYPE_CATEGORY.items())
+              + f" ELSE '{fx.OTHER_CATEGORY}' END")
+_LOOKUP = with_stage("cleaned", f"""
+, margins AS (
+  SELECT {_type_case} AS category, CAST((count(*) % 40 + 5) * 0.01 AS DECIMAL(9,6)) AS margin FROM part GROUP BY 1
+), aliases AS (
+  SELECT {initcap('n_name')} AS city, {initcap('n_name')} || ' ' || n_regionkey AS alias FROM nation
+), products AS (
+  SELECT {padded_key('PROD', 'p_partkey', 7)} AS product_id, p_brand, p_size
+  FROM part
+), s AS (
+  SELECT transaction_id, product_id, {initcap('trim(category)')} AS category, {initcap('trim(city)')} AS city,
+    CAST(round({amount('quantity')}, 2) AS DECIMAL(27,2)) AS revenue
+  FROM cleaned
+)
+SELECT transaction_id, s.category, coalesce(alias, s.city) AS city, coalesce(margin, CAST({DEFAULT_MARGIN} AS DECIMAL(9,6))) AS profit_margin,
+  CAST(round(revenue * coalesce(margin, CAST({DEFAULT_MARGIN} AS DECIMAL(9,6))), 2) AS DECIMAL(31,2)) AS profit, p_brand, p_size
+FROM s LEFT JOIN margins ON margins.category = s.category LEFT JOIN aliases ON aliases.city = s.city
+  LEFT JOIN products ON products.product_id = s.product_id""")
+
+# What DECIMAL(12,2) and the other warehouse columns can't hold after rounding.
+_wide = [(c, f"abs(round({c}, {d})) >= {10 ** (p - d)}") for c, p, d in (
+    ("unit_price", 10, 2), ("discount", 5, 4), ("total_amount", 12, 2), ("revenue", 12, 2), ("profit", 12, 2))]
+_long = [(c, f"length({c}) > {n}") for c, n in WAREHOUSE_TEXT_WIDTHS.items()]
+_MISFITS = with_stage("validated", "SELECT transaction_id, CASE WHEN misfit_columns = '' THEN CAST(CAST(revenue AS DECIMAL(12,2)) AS VARCHAR) "
+                      "ELSE CAST(revenue AS VARCHAR) END AS revenue, misfit_columns FROM (SELECT *, concat_ws(',', "
+                      + ", ".join(f"CASE WHEN {test} THEN '{c}' END" for c, test in _wide + _long) + ") AS misfit_columns FROM validated)")
+
 ORACLE: dict[str, str] = {
     # sources
     "csv_routing": _csv(_good_rows),
-    "ingest_counts": _csv(f"""
-SELECT {_b('count(*)')} AS total_records, {_b('count(*) FILTER (malformed)')} AS malformed_records,
-  {_b('count(*) FILTER (NOT malformed)')} AS usable_records FROM csv_final"""),
-    "malformed_lines": _csv("SELECT line AS malformed_line FROM csv_final WHERE malformed"),
-    "schema_preview": "SELECT unnest([" + ", ".join(f"'{c}'" for c in RAW_COLUMNS) + """]) AS column_name,
-  (SELECT count(*) > 0 FROM lineitem) AS found""",
+    "ingest_counts": _csv(f"SELECT {_INGEST} FROM csv_final"),
+    "malformed_lines": _csv("""
+SELECT line AS malformed_line, CASE WHEN too_few THEN 'too_few_fields' WHEN too_many THEN 'too_many_fields'
+  WHEN not_an_integer THEN 'not_an_integer' WHEN not_a_number THEN 'not_a_number' ELSE 'too_wide' END AS reason
+FROM csv_final WHERE malformed"""),
+    "schema_preview": _csv(_TYPES),
     "numeric_parse": _csv("""
 SELECT f_transaction_id AS transaction_id, nullif(f_quantity, '') AS quantity_text,
   TRY_CAST(nullif(f_quantity, '') AS DOUBLE) AS quantity_num,
@@ -140,6 +214,8 @@ FROM n"""),
     "normalize_city": with_stage("cleaned", f"""
 , c0 AS (SELECT *, {initcap('trim(city)')} AS city0 FROM cleaned)
 SELECT * EXCLUDE (city0) REPLACE (coalesce({_city_alias}, city0) AS city) FROM c0"""),
+    "lookup_join": _LOOKUP,
+    "lookup_join_split": _LOOKUP,
     "derive_money": with_stage("derived", "SELECT transaction_id, revenue, profit_margin, profit FROM derived"),
     "derive_dates": with_stage("derived", """
 SELECT transaction_id, delivery_days, order_month, order_year, order_year_month FROM derived"""),
@@ -238,6 +314,7 @@ FROM validated WHERE delivery_days >= 0"""),
     "pipeline_stats": _CSV_RUN + """
 , n AS (
   SELECT (SELECT count(*) FROM csv_final) AS lines, (SELECT count(*) FROM csv_final WHERE malformed) AS malformed,
+""" + "\n".join(f"    (SELECT count(*) FROM csv_final WHERE {flag}) AS {flag}," for _, flag in _kinds) + """
     (SELECT count(*) FROM sales_raw) AS before, (SELECT count(*) FROM distinct_rows) AS dist,
     count(*) AS kept, count(*) FILTER (customer_id IS NULL) AS m_c, count(*) FILTER (payment_method IS NULL) AS m_p,
     count(*) FILTER (category IS NULL) AS m_cat, count(*) FILTER (city IS NULL) AS m_city,
@@ -250,7 +327,8 @@ FROM validated WHERE delivery_days >= 0"""),
 """ + "\nUNION ALL\n".join(
         f"SELECT '{stage}' AS stage, '{key}' AS measure, CAST({x} AS DECIMAL(38,2)) AS value FROM {src}"
         for stage, src, pairs in (
-            ("ingest", "n", {"total_records": "lines", "malformed_records": "malformed", "usable_records": "lines - malformed"}),
+            ("ingest", "n", {"total_records": "lines", "malformed_records": "malformed", "usable_records": "lines - malformed",
+                             **{f"{kind}_records": flag for kind, flag in _kinds}, "unreadable_records": "0"}),
             ("cleaning", "n", {
                 "rows_before_cleaning": "before", "exact_duplicate_rows_removed": "before - dist",
                 "duplicate_transaction_ids_removed": "dist - kept", "missing_customer_id_imputed": "m_c",
@@ -268,6 +346,8 @@ FROM validated WHERE delivery_days >= 0"""),
         f"FROM validated GROUP BY {key}"
         for name, key in (("category", "category"), ("state", "state"), ("month", "order_year_month"), ("customer", "customer_id"))),
     # sinks
+    "processed_versions": with_stage("validated", "SELECT * FROM validated"),
+    "misfit_split": _MISFITS,
     "processed_table": with_stage("validated", "SELECT * FROM validated"),
     "report_roundtrip": with_stage("validated", _cat_report),
 }

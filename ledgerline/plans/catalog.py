@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import cleaning, reports, transform, validation
+from ledgerline.operators import cleaning, lookups, reports, transform, validation
 from ledgerline.plans import pipeline, sql_reports
 from ledgerline.schema import RAW_COLUMNS
 from ledgerline.session import scratch_path
-from ledgerline.sinks import files
+from ledgerline.sinks import files, jdbc, versions
 from ledgerline.sources import csv_ingest, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,29 +76,26 @@ def q_csv_routing(spark, sf):
 
 
 def q_ingest_counts(spark, sf):
-    return _ingested(spark, sf).counts
+    """S6 with the malformed lines by reason."""
+    return csv_ingest.ingest_counts(csv_ingest.parse_lines(fixture.sales_csv_lines(spark, sf)), by_reason=True)
 
 
 def q_malformed_lines(spark, sf):
-    """K1 round trip: bad lines written by the reject sink, read back."""
+    """K1 round trip: bad lines written by the reject sink, read back with their reasons."""
     path = scratch_path(spark, "rejects")
     if not files.write_rejects(_ingested(spark, sf).bad, path):
         raise OSError(f"rejects not written to {path}")
-    return spark.read.text(path).select(F.col("value").alias("malformed_line"))
+    return files.read_rejects(spark, path).select(F.col("value").alias("malformed_line"), "reason")
 
 
 def q_schema_preview(spark, sf):
-    """The columns that inference finds in the CSV files (the sampled types are for
-    looking at; they follow the sample)."""
-    return (csv_ingest.infer_schema_preview(spark, _csv_folder(spark, sf))
-            .select(F.col("column").alias("column_name"), F.col("inferred_type").isNotNull().alias("found")))
+    """The types of the CSV files' columns, inferred from every value."""
+    return csv_ingest.infer_csv_types(spark, _csv_folder(spark, sf)).withColumnRenamed("column", "column_name")
 
 
 def q_numeric_parse(spark, sf):
     """T10 over the CSV text: every field as text, then tolerant numeric parse."""
-    text_ddl = ", ".join(f"`{c}` string" for c in RAW_COLUMNS)
-    lines = fixture.sales_csv_lines(spark, sf)
-    fields = lines.select(F.from_csv("value", text_ddl, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    fields = csv_ingest.text_fields(fixture.sales_csv_lines(spark, sf))
     return fields.select(
         "transaction_id",
         F.col("quantity").alias("quantity_text"),
@@ -147,6 +144,29 @@ def q_derive_money(spark, sf):
     return derived(spark, sf).select("transaction_id", "revenue", "profit_margin", "profit")
 
 
+def lookup_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lookups derived from the driver's tables: margin by category, city aliases, products."""
+    part = fixture.table(spark, sf, "part", "p_partkey bigint, p_type string, p_brand string, p_size int")
+    category = F.expr("CASE " + " ".join(f"WHEN p_type = '{k}' THEN '{v}'" for k, v in fixture.PART_TYPE_CATEGORY.items())
+                      + f" ELSE '{fixture.OTHER_CATEGORY}' END")
+    margins = part.groupBy(category.alias("category")).agg(
+        ((F.count(F.lit(1)) % 40 + 5).cast("decimal(9,0)") * Decimal("0.01")).cast("decimal(9,6)").alias("margin"))
+    nation = fixture.table(spark, sf, "nation", "n_name string, n_regionkey int")
+    aliases = nation.select(F.initcap("n_name").alias("city"), F.concat(F.initcap("n_name"), F.lit(" "), "n_regionkey").alias("alias"))
+    products = part.select(F.expr(f"concat('PROD', {fixture.padded('p_partkey', 7)})").alias("product_id"), "p_brand", "p_size")
+    return margins, aliases, products
+
+
+def _lookup_join(limit: int) -> Query:
+    def q(spark, sf):
+        margins, aliases, products = (lookups.as_lookup(t) for t in lookup_tables(spark, sf))
+        sales = transform.transform_data(cleaned(spark, sf), margins, aliases, limit=limit)
+        return (lookups.attach(sales, products, F.col("product_id"), "product", limit)
+                .select("transaction_id", "category", "city", "profit_margin", "profit", "product.p_brand", "product.p_size"))
+    q.__name__ = "q_lookup_join"
+    return q
+
+
 def q_derive_dates(spark, sf):
     return derived(spark, sf).select("transaction_id", "delivery_days", "order_month",
                                      "order_year", "order_year_month")
@@ -232,6 +252,24 @@ def q_processed_table(spark, sf):
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def q_processed_versions(spark, sf):
+    """K2 in versions: the table written, rewritten from itself (its flags made anew), and read
+    through the manifest."""
+    path, df = scratch_path(spark, "versions"), derived(spark, sf)
+    versions.write_version(df, path)
+    again = validation.add_flags(versions.read_current(spark, path, df.schema))
+    versions.write_version(again, path)
+    versions.prune(spark, path, keep=1)
+    return versions.read_current(spark, path, again.schema)
+
+
+def q_misfit_split(spark, sf):
+    """K5: what the warehouse can hold, and the rows it can't."""
+    fits, misfits = jdbc.split_misfits(validated(spark, sf))
+    label = lambda df, why: df.select("transaction_id", F.col("revenue").cast("string").alias("revenue"), why.alias("misfit_columns"))
+    return label(fits, F.lit("")).unionByName(label(misfits, F.col("misfit_columns")))
+
+
 def q_report_roundtrip(spark, sf):
     """K3 + S7 round trip: the category report exported as CSV and read back."""
     df = reports.revenue_by_category(validated(spark, sf), unique_ids=UNIQUE)
@@ -279,6 +317,8 @@ QUERIES: dict[str, Query] = {
     "standardize_category": q_standardize_category,
     "normalize_city": q_normalize_city,
     "derive_money": q_derive_money,
+    "lookup_join": _lookup_join(lookups.BROADCAST_BYTES),
+    "lookup_join_split": _lookup_join(0),
     "derive_dates": q_derive_dates,
     "city_label": q_city_label,
     "uniqueness_check": q_uniqueness_check,
@@ -297,6 +337,8 @@ QUERIES: dict[str, Query] = {
     "kpi_long": q_kpi_long,
     **{name: _sql(name) for name in sql_reports.SQL},
     "processed_table": q_processed_table,
+    "processed_versions": q_processed_versions,
+    "misfit_split": q_misfit_split,
     "report_roundtrip": q_report_roundtrip,
     "pipeline_stats": q_pipeline_stats,
     "pipeline_csv_reports": q_pipeline_csv_reports,

@@ -28,10 +28,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import cleaning, reports, transform, validation
+from ledgerline.operators import cleaning, lookups, reports, transform, validation
 from ledgerline.plans import sql_reports
 from ledgerline.session import remove_path, scratch_path
-from ledgerline.sinks import files, jdbc
+from ledgerline.sinks import files, jdbc, versions
 from ledgerline.sources import csv_ingest
 
 log = logging.getLogger("ledgerline.pipeline")
@@ -51,8 +51,8 @@ class RunResult:
 
 
 def process(raw: DataFrame,
-            margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
-            aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
+            margins: transform.Table = C.DEFAULT_CATEGORY_MARGINS,
+            aliases: transform.Table = C.DEFAULT_CITY_ALIASES,
             stats: Observation | None = None, cluster_by_month: bool = False) -> DataFrame:
     """Lazy processed frame (cleaned, transformed, flagged). With ``stats`` the
     cleaning statistics are observed on the deduplicated frame.
@@ -61,23 +61,28 @@ def process(raw: DataFrame,
     order date (the processed table's partition column) for a partitioned
     write. The rebalance comes before the observation, so the statistics are
     collected in the writing (result) stage, whose task results are merged once
-    per partition even when tasks or executors are lost.
+    per partition even when tasks or executors are lost. Lookups that are
+    tables are written first, and hot keys measured on ``raw``: on the observed
+    frame that would take its statistics too early.
     """
+    margins, aliases = (lookups.as_lookup(t) if lookups.is_table(t) else t for t in (margins, aliases))
+    hot = transform.hot_lookup_keys(raw, margins, aliases)
     deduped = cleaning.deduplicate(raw, keep_counts=True)
     if cluster_by_month:
         deduped = files.rebalance_by(deduped, C.order_year_month(C.parse_date("order_date")))
     if stats is not None:
         deduped = deduped.observe(stats, *cleaning.stats_columns())
     return validation.add_flags(
-        transform.transform_data(cleaning.clean_deduped(deduped), margins, aliases))
+        transform.transform_data(cleaning.clean_deduped(deduped), margins, aliases, hot=hot))
 
 
 def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None = None,
         processed_path: str | None = None, reports_dir: str | None = None,
         rejects_path: str | None = None, processed_format: str = "parquet",
         staging_path: str | None = None,
-        margins: Mapping[str, str] = C.DEFAULT_CATEGORY_MARGINS,
-        aliases: Mapping[str, str] = C.DEFAULT_CITY_ALIASES,
+        margins: transform.Table = C.DEFAULT_CATEGORY_MARGINS,
+        aliases: transform.Table = C.DEFAULT_CITY_ALIASES,
+        versioned: bool = False,
         jdbc_load: Mapping[str, object] | None = None) -> RunResult:
     """Run every stage. Give either ``raw`` (13 raw columns) or ``csv_path``.
 
@@ -86,7 +91,10 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     ``spark.checkpoint.dir``. Malformed lines, if there are any, go to
     ``rejects_path`` (default: the processed path with ``_rejects`` appended). A
     default staging folder is deleted once both are written, and kept if the
-    rejects could not be: no line is lost. ``jdbc_load`` (keyword arguments of
+    rejects could not be: no line is lost. ``margins`` and ``aliases`` may be tables
+    (key, value) of any size. ``versioned``: the processed table is written as a new
+    version under ``processed_path`` (``sinks.versions``), so a run that fails leaves the
+    last one readable. ``jdbc_load`` (keyword arguments of
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
@@ -98,20 +106,25 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         ingest_obs = Observation("ingest")
         if staging_path is None:
             scratch_staging = staging_path = scratch_path(spark, "staged")
-        raw, bad = csv_ingest.read_staged(spark, csv_ingest.write_staged(parsed, staging_path, ingest_obs))
+        raw, bad = csv_ingest.read_staged(spark, csv_ingest.write_staged(parsed, staging_path, ingest_obs, by_reason=True))
         counts = dict(ingest_obs.get)
         log.info("ingest: %s", counts)
 
     stats_obs = Observation("cleaning")
     processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
     processed_path = processed_path or scratch_path(spark, "processed")
+    root = processed_path
+    if versioned:
+        processed_path = versions.begin(root)
     files.write_processed(processed, processed_path, processed_format, rebalance=False)
     stats = dict(stats_obs.get)
+    if versioned:
+        versions.commit(spark, root, processed_path, {"rows": stats["rows_after_cleaning"], "format": processed_format})
     log.info("cleaning: %s", stats)
 
     kept_at = None
     if bad is not None and counts["malformed_records"] > 0:
-        kept_at = rejects_path or f"{processed_path.rstrip('/')}_rejects"
+        kept_at = rejects_path or f"{root.rstrip('/')}_rejects"
         if not files.write_rejects(bad, kept_at):
             kept_at = staging_path
             log.error("%d malformed lines stay in the staging table %s", counts["malformed_records"], staging_path)

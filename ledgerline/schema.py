@@ -21,6 +21,7 @@ MONEY_AVG = "decimal(30,2)"
 
 KEY = "transaction_id"
 CORRUPT = "_corrupt_record"
+REASONS = "_reasons"   # why a line is corrupt, as codes
 
 RAW_COLUMNS = [
     "transaction_id", "customer_id", "product_id", "category", "city", "state",

@@ -7,11 +7,12 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.reports import kpi_long
-from ledgerline.schema import CORRUPT
+from ledgerline.schema import CORRUPT, REASONS
+from ledgerline.sources.csv_ingest import reason_kind
 
 log = logging.getLogger("ledgerline.sinks")
 
@@ -38,17 +39,25 @@ REPORT_FILES = {
 
 
 def write_rejects(bad: DataFrame, path: str) -> bool:
-    """K1: raw text of malformed lines, overwrite. The number of bad lines is not
-    bounded, so no single-file coalesce. A failed write is logged and gives False:
-    the run goes on, and keeps the table that still holds the lines."""
+    """K1: raw text of malformed lines, overwrite; the kind of a line's first reason is
+    the folder it is in (``reason=...``), so the files hold the lines and nothing
+    else. The number of bad lines is not bounded, so no single-file coalesce. A
+    failed write is logged and gives False: the run goes on, and keeps the table
+    that still holds the lines."""
+    lines = bad.select(F.col(CORRUPT).alias("value"), *([reason_kind(F.col(REASONS)[0]).alias("reason")] if REASONS in bad.columns else []))
     try:
-        bad.select(F.col(CORRUPT).alias("value")).write.mode("overwrite").text(path)
+        lines.write.mode("overwrite").partitionBy(*lines.columns[1:]).text(path)
         return True
     except Exception as exc:  # noqa: BLE001 - the source job only logs here
         log.error("could not write malformed lines to %s: %s", path, exc)
         return False
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of ``write_rejects`` (value) with the kind of their reason."""
+    return spark.read.schema("value string, reason string").text(path)
+
+
 def rebalance_by(df: DataFrame, key: Column) -> DataFrame:
     """Cluster rows by ``key`` ahead of a partitioned write (REBALANCE hint).
 

@@ -30,9 +30,11 @@ WRONG_TOTAL = "123.45"
 GARBAGE_TOKENS = ["?", "missing", "1O2", "--", "NaN%"]
 # CSV faults, by l_orderkey modulus: token in quantity, token in unit_price,
 # one field short, one field extra, blank quantity, spaces-only category,
-# quoted comma in city.
+# quoted comma in city, unit_price too wide for its type, quantity with a decimal.
 CSV_QTY_TOKEN, CSV_PRICE_TOKEN, CSV_SHORT, CSV_LONG = 211, 223, 227, 229
 CSV_BLANK_QTY, CSV_SPACES_CATEGORY, CSV_QUOTED_CITY = 233, 239, 241
+CSV_WIDE_PRICE, CSV_DECIMAL_QTY = 251, 257
+WIDE_PRICE, DECIMAL_QTY = "1234567890.25", "2.5"
 SPACES_CATEGORY = "   "
 QUOTED_CITY = "Navi Mumbai, Thane"
 # --- end of fixed values -------------------------------------------------------
@@ -152,18 +154,21 @@ def sales_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in RAW_COLUMNS:
         f = f"coalesce(CAST({name} AS STRING), '')"
         if name == "quantity":
-            f = f"CASE WHEN l_orderkey % {CSV_QTY_TOKEN} = 0 THEN {token} WHEN l_orderkey % {CSV_BLANK_QTY} = 0 THEN '' ELSE {f} END"
+            f = f"CASE WHEN l_orderkey % {CSV_QTY_TOKEN} = 0 THEN {token} WHEN l_orderkey % {CSV_BLANK_QTY} = 0 THEN ''"
+            f += f" WHEN l_orderkey % {CSV_DECIMAL_QTY} = 0 THEN {_lit(DECIMAL_QTY)} ELSE coalesce(CAST(quantity AS STRING), '') END"
         elif name == "unit_price":
-            f = f"CASE WHEN l_orderkey % {CSV_PRICE_TOKEN} = 0 THEN {token} ELSE {f} END"
+            f = f"CASE WHEN l_orderkey % {CSV_PRICE_TOKEN} = 0 THEN {token} WHEN l_orderkey % {CSV_WIDE_PRICE} = 0 THEN {_lit(WIDE_PRICE)} ELSE {f} END"
         elif name == "category":
             f = f"CASE WHEN l_orderkey % {CSV_SPACES_CATEGORY} = 0 THEN {_lit(SPACES_CATEGORY)} ELSE {f} END"
         elif name == "city":
             f = f"CASE WHEN l_orderkey % {CSV_QUOTED_CITY} = 0 THEN {_lit(chr(34) + QUOTED_CITY + chr(34))} ELSE {f} END"
         fields.append(f)
     line = "concat_ws(',', " + ", ".join(fields) + ")"
-    value = (f"CASE WHEN l_orderkey % {CSV_SHORT} = 0 THEN regexp_replace({line}, ',[^,]*$', '')"
-             f" WHEN l_orderkey % {CSV_LONG} = 0 THEN concat({line}, ',EXTRA') ELSE {line} END AS value")
-    return sales_raw(spark, sf_dir, keys=True).selectExpr(value)
+    value = (f"CASE WHEN l_orderkey % {CSV_SHORT} = 0 THEN regexp_replace(line, ',[^,]*$', '')"
+             f" WHEN l_orderkey % {CSV_LONG} = 0 THEN concat(line, ',EXTRA') ELSE line END")
+    # each explode makes its one-element array a column, so a line is rendered once, whoever reads it
+    lines = sales_raw(spark, sf_dir, keys=True).selectExpr("l_orderkey", f"explode(array({line})) AS line")
+    return lines.selectExpr(f"explode(array({value})) AS value")
 
 
 def write_sales_csv(spark: SparkSession, sf_dir: str, path: str) -> str:

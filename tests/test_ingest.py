@@ -111,3 +111,72 @@ def test_long_keys_stay_whole(spark):
     from ledgerline.sources.fixture import padded
     got = spark.sql(f"SELECT {padded('k', 9)} AS v FROM VALUES (10000000000), (15000001), (7) AS t(k)").collect()
     assert [r.v for r in got] == ["10000000000", "015000001", "000000007"]
+
+
+REASONED = {
+    "T2,C1,P1,E,M,S1,#REF!,10.50,0.1,18.90,UPI,2024-01-10,2024-01-12": ["not_a_number:quantity"],
+    "T3,C1,P1,E,M,S1,2,N/A,x,18.90,UPI,2024-01-10,2024-01-12": ["not_a_number:unit_price", "not_a_number:discount"],
+    "T4,C1,P1,E,M,S1,2,10.50,0.1,18.90,UPI,2024-01-10": ["too_few_fields"],
+    "T5,C1,P1,E,M,S1,2,10.50,0.1,18.90,UPI,2024-01-10,2024-01-12,": ["too_many_fields"],
+    "T6,C1,P1,E,M,S1,2.0,10.50,0.1,18.90,UPI,2024-01-10,2024-01-12": ["not_an_integer:quantity"],
+    "T7,C1,P1,E,M,S1,2147483648,10.50,0.1,18.90,UPI,2024-01-10,": ["too_wide:quantity"],
+    "T8,C1,P1,E,M,S1,2,1234567890.5,1000,1e30,UPI,2024-01-10,": ["too_wide:unit_price", "too_wide:discount", "too_wide:total_amount"],
+    "T9": ["too_few_fields"],
+    'T10,C1,P1,E,"M, N",S1, 2,10.50,0.1,18.90,UPI,2024-01-10,2024-01-12': ["not_a_number:quantity"],
+    'T11,C1,P1,E,"M,S1,2,10.50,0.1,18.90,UPI,2024-01-10,2024-01-12,x,y': ["unreadable"],
+    "T12,C1,P1,E,M,S1,2,10.50,0.1,18.90,UPI,2024-01-10,,": ["too_many_fields"],
+}
+
+
+def test_reasons_of_rejects(spark):
+    text = spark.createDataFrame([(x,) for x in [*REASONED, GOOD, GOOD.replace(",2,10.50", ',,"1,050.25"')]], "value string")
+    ing = csv_ingest.ingest_lines(text)
+    assert {r["_corrupt_record"]: r["_reasons"] for r in ing.bad.collect()} == REASONED
+    assert sorted(r["unit_price"] for r in ing.good.collect()) == [D("10.5"), D("1050.25")]
+    assert csv_ingest.ingest_counts(csv_ingest.parse_lines(text), by_reason=True).first().asDict() == {
+        "total_records": 13, "malformed_records": 11, "usable_records": 2, "too_few_fields_records": 2, "too_many_fields_records": 2,
+        "not_a_number_records": 3, "not_an_integer_records": 1, "too_wide_records": 2, "unreadable_records": 1}
+
+
+def test_rejects_by_reason(spark, tmp_path):
+    from ledgerline.sinks import files
+    bad = csv_ingest.ingest_lines(spark.createDataFrame([(x,) for x in REASONED], "value string")).bad
+    assert files.write_rejects(bad, str(tmp_path / "rej"))
+    got = {r.value: r.reason for r in files.read_rejects(spark, str(tmp_path / "rej")).collect()}
+    assert got == {line: codes[0].partition(":")[0] for line, codes in REASONED.items()}
+    assert files.write_rejects(bad.filter("false"), str(tmp_path / "none"))
+    assert files.read_rejects(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_line_is_parsed_and_rendered_once(spark):
+    from ledgerline.sources import fixture
+    good = csv_ingest.ingest_lines(fixture.sales_csv_lines(spark, "/root/testdata/sf0.001")).good
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv") == 1 and plan.count("concat_ws") == 1 and plan.count("regexp_replace") == 1
+
+
+def typed(spark, columns):
+    n = max(map(len, columns.values()))
+    rows = [[v[i] if i < len(v) else None for v in columns.values()] for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns)).repartition(3)
+    return {r["column"]: r["inferred_type"] for r in csv_ingest.infer_types(df).collect()}
+
+
+def test_types_are_the_join_of_all_values(spark):
+    assert typed(spark, {
+        "none": [], "int": ["1", "-2147483648", "+7", "007"], "bigint": ["1", "2147483648"], "past": ["9223372036854775808"],
+        "decimal": ["1", "12.5", ".125", "3."], "zero": ["0.0", "-0"], "sum": ["1234567890123456789012345678901234567", "0.5"],
+        "wide": ["12345678901234567890123456789012345678", "0.5"], "exp": ["1", "2.5e3"], "date": ["2024-01-10", "2023-12-31"],
+        "no date": ["2024-01-10", "2024-13-01"], "mixed": ["2024-01-10", "5"], "text": ["1", "x"], "blank": ["1", " "], "nan": ["1.5", "NaN"],
+    }) == {"none": "null", "int": "int", "bigint": "bigint", "past": "decimal(19,0)", "decimal": "decimal(5,3)", "zero": "decimal(1,1)",
+           "sum": "decimal(38,1)", "wide": "double", "exp": "double", "date": "date", "no date": "string", "mixed": "string",
+           "text": "string", "blank": "string", "nan": "string"}
+
+
+def test_types_see_the_last_line(spark, tmp_path):
+    from ledgerline.schema import RAW_COLUMNS as names
+    good = ["1"] * len(names)
+    (tmp_path / "a.csv").write_text("\n".join([",".join(names), *[",".join(good)] * 5000, ",".join(["x", *good[1:]])]) + "\n")
+    found = csv_ingest.infer_csv_types(spark, str(tmp_path / "a.csv")).collect()
+    assert {r["column"]: (r["inferred_type"], r["n_int"], r["n_string"]) for r in found} == {
+        c: ("string", 5000, 1) if c == names[0] else ("int", 5001, 0) for c in names}

@@ -114,3 +114,64 @@ def test_command_line_names_the_driver(monkeypatch):
     monkeypatch.setenv("LOAD_TO_MYSQL", " True ")
     opts = load_options(parse_args([*base, "--jdbc-connections", "3"]))
     assert opts["driver"] == "com.mysql.cj.jdbc.Driver" and opts["num_partitions"] == 3
+
+
+class FakeWarehouse:
+    """Records what a published load asks of a database; counts rows like one that loses ``lost``."""
+
+    def __init__(self, tables=(), lost=0):
+        self.tables, self.lost, self.said, self.sides = set(tables), lost, [], {}
+
+    def exists(self, table):
+        return table in self.tables
+
+    def run(self, statements):
+        self.said += statements
+
+    def load(self, df, table, mode):
+        self.sides[table] = df
+        self.said.append(f"load {table} {mode}")
+
+    def rows(self, table):
+        return self.sides[table].count() - self.lost
+
+
+WIDE_ROWS = [row("T1"), row("T2", qty=2000000, price="99999.555"), row("T3", cust="C" * 21), row("T4", disc="0.1")]
+
+
+def test_misfits_are_split_whole(raw_df):
+    fits, misfits = jdbc.split_misfits(validated(raw_df, WIDE_ROWS))
+    assert sorted(r.transaction_id for r in fits.collect()) == ["T1", "T4"] and dict(fits.dtypes)["revenue"] == "decimal(12,2)"
+    got = {r.transaction_id: r for r in misfits.collect()}
+    assert got["T2"].misfit_columns == "total_amount,revenue,profit" and got["T2"].unit_price == "99999.555000"
+    assert got["T3"].misfit_columns == "customer_id" and got["T3"].customer_id == "C" * 21
+    assert misfits.columns == [*fits.columns, "misfit_columns"] and {t for _, t in misfits.dtypes} == {"string"}
+
+
+def test_publish_loads_beside_and_swaps_last(raw_df):
+    db = FakeWarehouse({"sales"})
+    assert jdbc.publish(validated(raw_df, WIDE_ROWS), db, "sales") == (2, 2)
+    assert db.said == [
+        "DROP TABLE IF EXISTS `sales__load`", "CREATE TABLE `sales__load` LIKE `sales`", "load sales__load append",
+        "DROP TABLE IF EXISTS `sales_misfits__load`", "load sales_misfits__load append",
+        "DROP TABLE IF EXISTS `sales__before`", "RENAME TABLE `sales` TO `sales__before`, `sales__load` TO `sales`", "DROP TABLE `sales__before`",
+        "RENAME TABLE `sales_misfits__load` TO `sales_misfits`"]
+
+
+def test_publish_stops_before_the_swap_if_rows_are_missing(raw_df):
+    import pytest
+    db = FakeWarehouse({"sales"}, lost=1)
+    with pytest.raises(RuntimeError, match="sales is unchanged"):
+        jdbc.publish(validated(raw_df, [row("T1")]), db, "sales")
+    assert not any("RENAME" in s for s in db.said)
+
+
+def test_publish_without_misfits_or_target(raw_df):
+    db = FakeWarehouse()
+    assert jdbc.publish(validated(raw_df, [row("T1")]), db, "shop.sales") == (1, 0)
+    assert db.said == ["DROP TABLE IF EXISTS `shop`.`sales__load`", "load shop.sales__load append",
+                       "RENAME TABLE `shop`.`sales__load` TO `shop`.`sales`"]
+    # a table of old misfits is emptied
+    db = FakeWarehouse({"sales", "sales_misfits"})
+    assert jdbc.publish(validated(raw_df, [row("T1")]), db, "sales") == (1, 0)
+    assert "CREATE TABLE `sales_misfits__load` LIKE `sales_misfits`" in db.said and jdbc.quoted("a`b") == "`a``b`"
