@@ -84,13 +84,14 @@ def slices(text: bytes) -> Iterator[bytes]:
 
 
 class Blocks:
-    """Word numbers of a stream of texts, -1 behind each piece, in blocks. A block ends with
-    the words that windows of the rows before need; ``fresh`` of its numbers start windows."""
+    """Word numbers of a stream of texts, -1 behind each piece, in blocks: (numbers, fresh, last).
+    A block ends with the words that windows of those before need; ``fresh`` of its numbers start
+    windows. After a ``last`` block the numbers mean other words, or there is no more."""
 
     def __init__(self, ahead: int):
         self.ahead, self.words, self.tables, self.hashes = ahead, [], {}, np.zeros(0, np.uint64)
 
-    def of(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    def of(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int, bool]]:
         out: list[int] = []
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
@@ -104,10 +105,10 @@ class Blocks:
                         out.append(-1)
                         out.extend(map(number, piece.split()))
                     if len(out) > BLOCK:
-                        yield np.array(out, np.int64), len(out) - self.ahead
+                        yield np.array(out, np.int64), len(out) - self.ahead, len(self.words) > VOCABULARY
                         out = self.kept(out[-self.ahead:])
                 out.append(-1)
-        yield np.array(out + [-1] * self.ahead, np.int64), len(out)
+        yield np.array(out + [-1] * self.ahead, np.int64), len(out), True
 
     def table(self, lang: str) -> Numbers:
         if lang not in self.tables:
@@ -141,7 +142,7 @@ def frequent_pairs(docs: DataFrame, least: int) -> bytes:
     """Bitmap of the hashes' upper bits of all pairs of words that follow each other ``least`` times."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(1)
-        for ids, _ in blocks.of(batches):
+        for ids, _, _ in blocks.of(batches):
             met, hashes = blocks.pairs(ids)
             keys, n = np.unique(hashes[met], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["pair", "n"])
@@ -161,33 +162,50 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(frequent_pairs(docs, least))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, often = Blocks(ORDER - 1), np.frombuffer(bitmap.value, np.uint8)
-        for ids, fresh in blocks.of(batches):
-            met, hashes = blocks.pairs(ids)
-            bit = (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-            met &= (often[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-            met = np.append(met, [False] * ORDER)
-            at = np.flatnonzero(ids[:fresh] >= 0)
-            codes, width = ids[at], len(blocks.words)
-            for k in range(1, ORDER + 1):
-                # ``codes``: the first k words of the windows at ``at``, as one number
-                keys, place, codes = np.unique(codes, return_index=True, return_inverse=True)
-                on = met[at + k - 1] if k < ORDER else np.zeros(len(at), bool)
-                n = np.bincount(codes[~on], minlength=len(keys))
-                ends = np.flatnonzero(n)
-                if len(ends):
-                    yield rows(blocks.words, ids, at[place[ends]], k, n[ends])
-                at, codes = at[on], codes[on] * width + ids[np.minimum(at[on] + k, len(ids) - 1)]
-
-    def rows(words: list, ids: np.ndarray, starts: np.ndarray, k: int, n: np.ndarray) -> pa.RecordBatch:
-        grams = [b" ".join([words[i][1] for i in ids[s:s + k]]) for s in starts.tolist()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([words[i][0] for i in ids[starts].tolist()], pa.string()), pa.array(grams, pa.binary()).cast(pa.string()),
-             pa.array(np.full(len(n), k, np.int32)), pa.array(n.astype(np.int64))], ["lang", "gram", "k", "n"])
+        return counted(batches, bitmap.value)
     found = texts_of(docs).mapInArrow(count, "lang string, gram string, k int, n bigint")
     return C.written(found.groupBy("lang", "gram", "k").agg(F.sum("n").alias("n")), "word-windows")
 
 
+def counted(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
+    """The windows of (text, lang), counted per block, and those of one word (most of them) per dictionary."""
+    blocks, often = Blocks(ORDER - 1), np.frombuffer(bitmap, np.uint8)
+    alone = np.zeros(0, np.int64)
+    for ids, fresh, last in blocks.of(batches):
+        met, hashes = blocks.pairs(ids)
+        bit = (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+        met &= (often[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+        met = np.append(met, [False] * ORDER)
+        at = np.flatnonzero(ids[:fresh] >= 0)
+        width, codes = len(blocks.words), ids[at]
+        alone = np.append(alone, np.zeros(width - len(alone), np.int64))
+        alone += np.bincount(codes[~met[at]], minlength=width)
+        at = at[met[at]]
+        codes = ids[at]
+        for k in range(2, ORDER + 1):
+            # ``codes``: the first k words of the windows at ``at``, as one number
+            keys, place, codes = np.unique(codes * width + ids[at + k - 1], return_index=True, return_inverse=True)
+            on = met[at + k - 1] if k < ORDER else np.zeros(len(at), bool)
+            n = np.bincount(codes[~on], minlength=len(keys))
+            ends = np.flatnonzero(n)
+            if len(ends):
+                yield named(blocks.words, ids[at[place[ends]][:, None] + np.arange(k)], n[ends])
+            at, codes = at[on], codes[on]
+        if last:
+            found = np.flatnonzero(alone)
+            if len(found):
+                yield named(blocks.words, found[:, None], alone[found])
+            alone = np.zeros(0, np.int64)
+
+
+def named(words: list, grams: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of windows, given as word numbers; all words of one are of one language."""
+    texts = [b" ".join([words[i][1] for i in gram]) for gram in grams.tolist()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([words[i][0] for i in grams[:, 0].tolist()], pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
+         pa.array(np.full(len(n), grams.shape[1], np.int32)), pa.array(n.astype(np.int64))], ["lang", "gram", "k", "n"])
+
+
 def first_words(c: str, k: int) -> Column:
     return F.substring_index(c, " ", k)
 

@@ -62,27 +62,27 @@ def test_collocations_equal_plain_counts(spark, least, inside, most):
     assert found(K.collocations(df, least, inside, most)) == slow(docs, least, inside, most)
 
 
-def test_small_slices_blocks_and_dictionaries_change_nothing(spark, monkeypatch):
-    """On the driver's own functions, which the workers get."""
+def test_small_slices_blocks_and_dictionaries_change_nothing(monkeypatch):
+    """What the workers count, in this process."""
     import pyarrow as pa
     docs = sentences(9, 60)
     batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in docs]), pa.array([lang or "und" for _, lang in docs])], ["text", "lang"])
-
-    def grams():
-        blocks, out = K.Blocks(3), Counter()
-        for ids, fresh in blocks.of(iter([batch])):
-            for s in range(fresh):
-                gram = []
-                for i in ids[s:s + 4].tolist():
-                    if i < 0:
-                        break
-                    gram.append(blocks.words[i])
-                out[tuple(gram)] += bool(gram)
-        return +out
-    want = grams()
+    everything, some = (bytes([v]) * (1 << (K.BITMAP_BITS - 3)) for v in (255, 0b01101101))
+
+    def windows(bitmap):
+        out = Counter()
+        for found in K.counted(iter([batch]), bitmap):
+            for row in found.to_pylist():
+                out[row["lang"], row["gram"]] += row["n"]
+        return out
+    want = windows(everything), windows(some)
+    plain = Counter()
+    for lang, f in slow_counts(docs).items():
+        plain.update({(lang, b" ".join(p).decode()): a for p, a in f.items() if len(p) == 4})
+    assert {k: n for k, n in want[0].items() if k[1].count(" ") == 3} == plain and want[0] != want[1]
     for name, small in (("SLICE", 30), ("BLOCK", 40), ("VOCABULARY", 5)):
         monkeypatch.setattr(K, name, small)
-        assert grams() == want
+        assert (windows(everything), windows(some)) == want
 
 
 def test_pairs_let_through_by_mistake_change_nothing(spark, monkeypatch):
