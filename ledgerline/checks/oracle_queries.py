@@ -345,6 +345,7 @@ FROM validated WHERE delivery_days >= 0"""),
         f"SELECT '{name}' AS report, {key} AS name, {money('revenue')} AS total_revenue, {_orders} AS total_orders "
         f"FROM validated GROUP BY {key}"
         for name, key in (("category", "category"), ("state", "state"), ("month", "order_year_month"), ("customer", "customer_id"))),
+    "incremental_reports": _CSV_RUN + "\n" + _cat_report,
     # sinks
     "processed_versions": with_stage("validated", "SELECT * FROM validated"),
     "misfit_split": _MISFITS,

@@ -22,6 +22,7 @@ from ledgerline.schema import RAW_COLUMNS
 from ledgerline.session import scratch_path
 from ledgerline.sinks import files, jdbc, versions
 from ledgerline.sources import csv_ingest, fixture
+from ledgerline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,6 +303,12 @@ def q_pipeline_csv_reports(spark, sf):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def q_incremental_reports(spark, sf):
+    """The category report of an incremental run that takes the CSV files in several micro-batches."""
+    res = incremental.run_new(spark, _csv_folder(spark, sf), scratch_path(spark, "incremental"), max_files=2)
+    return res.reports["revenue_by_category"]
+
+
 QUERIES: dict[str, Query] = {
     "csv_routing": q_csv_routing,
     "ingest_counts": q_ingest_counts,
@@ -342,4 +349,5 @@ QUERIES: dict[str, Query] = {
     "report_roundtrip": q_report_roundtrip,
     "pipeline_stats": q_pipeline_stats,
     "pipeline_csv_reports": q_pipeline_csv_reports,
+    "incremental_reports": q_incremental_reports,
 }

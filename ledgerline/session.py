@@ -78,6 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> str:
+    """Create a folder, if it isn't there, on the file system of its URI."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jpath)
+    return path
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder through the Hadoop file system of its URI (any scheme the
     cluster is configured for). Used only for scratch output this library

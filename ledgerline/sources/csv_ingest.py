@@ -33,13 +33,14 @@ class Ingested:
 # A character that separates nothing: a line is one field. A line that does hold it
 # comes whole in the corrupt column.
 NO_SEPARATOR = "\x01"
+WHOLE_SCHEMA = "value string, _whole string"
+WHOLE_LINES = {"header": "true", "sep": NO_SEPARATOR, "quote": "", "columnNameOfCorruptRecord": "_whole", "mode": "PERMISSIVE"}
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines of one or many CSV files without each file's first line, its header
     (column ``value``). The CSV reader knows where a file begins, the text reader doesn't."""
-    whole = (spark.read.schema("value string, _whole string").option("header", True).option("sep", NO_SEPARATOR)
-             .option("quote", "").option("columnNameOfCorruptRecord", "_whole").option("mode", "PERMISSIVE"))
+    whole = spark.read.options(**WHOLE_LINES).schema(WHOLE_SCHEMA)
     return whole.csv(path).select(F.coalesce("_whole", "value").alias("value"))
 
 
