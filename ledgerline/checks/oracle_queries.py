@@ -163,6 +163,13 @@ _MISFITS = with_stage("validated", "SELECT transaction_id, CASE WHEN misfit_colu
                       "ELSE CAST(revenue AS VARCHAR) END AS revenue, misfit_columns FROM (SELECT *, concat_ws(',', "
                       + ", ".join(f"CASE WHEN {test} THEN '{c}' END" for c, test in _wide + _long) + ") AS misfit_columns FROM validated)")
 
+_REPEATED = f"""
+, repeated AS (
+  SELECT transaction_id, coalesce(customer_id, 'GUEST_CUSTOMER') AS customer_id, state,
+    CAST(round({amount('abs(quantity)')}, 2) AS DECIMAL(27,2)) AS revenue
+  FROM sales_raw
+)"""
+
 ORACLE: dict[str, str] = {
     # sources
     "csv_routing": _csv(_good_rows),
@@ -275,6 +282,12 @@ ORDER BY total_revenue DESC, product_id, category LIMIT 10"""),
 SELECT city, state, {money('revenue')} AS total_revenue
 FROM validated GROUP BY city, state
 ORDER BY total_revenue DESC, city, state LIMIT 10"""),
+    "rollup_kpis": with_stage("sales_raw", _REPEATED + f"""
+SELECT {money('revenue')} AS total_revenue, {_orders} AS total_orders, {avg2('revenue')} AS average_order_value,
+  {_b('count(DISTINCT customer_id)')} AS total_customers FROM repeated"""),
+    "rollup_by_state": with_stage("sales_raw", _REPEATED + f"""
+SELECT state, {money('revenue')} AS total_revenue, {_orders} AS total_orders,
+  {_b('count(DISTINCT customer_id)')} AS total_customers FROM repeated GROUP BY state"""),
     "customer_summary": with_stage("validated", f"""
 SELECT customer_id, {_orders} AS total_orders, {money('revenue')} AS total_revenue,
   {avg2('revenue')} AS avg_order_value, max(order_date) AS last_order_date

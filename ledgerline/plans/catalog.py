@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import cleaning, lookups, reports, transform, validation
+from ledgerline.operators import cleaning, lookups, reports, rollup, transform, validation
 from ledgerline.plans import pipeline, sql_reports
 from ledgerline.schema import RAW_COLUMNS
 from ledgerline.session import scratch_path
@@ -229,6 +229,22 @@ def q_top_cities(spark, sf):
     return reports.top_cities_by_revenue(validated(spark, sf))
 
 
+def q_rollup_kpis(spark, sf):
+    """A1 over the raw view's rows (ids repeat there), distinct counts from bitmaps."""
+    return rollup.sales_kpis(repeated(spark, sf))
+
+
+def q_rollup_by_state(spark, sf):
+    """A4 in the same way."""
+    return rollup.revenue_by_state(repeated(spark, sf))
+
+
+def repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw view with revenue, not deduplicated."""
+    rows = cleaning.impute_defaults(raw(spark, sf))
+    return rows.select("transaction_id", "customer_id", "state", C.revenue(F.abs("quantity")).alias("revenue"))
+
+
 def q_customer_summary(spark, sf):
     return reports.customer_summary(validated(spark, sf), unique_ids=UNIQUE)
 
@@ -340,6 +356,8 @@ QUERIES: dict[str, Query] = {
     "monthly_trend": q_monthly_trend,
     "top_products": q_top_products,
     "top_cities": q_top_cities,
+    "rollup_kpis": q_rollup_kpis,
+    "rollup_by_state": q_rollup_by_state,
     "customer_summary": q_customer_summary,
     "kpi_long": q_kpi_long,
     **{name: _sql(name) for name in sql_reports.SQL},
