@@ -15,7 +15,7 @@ are written by Spark's committer into shared storage, so a lost executor's
 partial files never show.
 
 Defined results: a null text is empty, and an empty text is the end id alone; a
-null id sorts first; rows with equal ids keep the order of their texts; strings
+null id sorts first; rows with equal ids are in the order of a hash of their texts; strings
 of special tokens inside texts are ordinary text; an empty table gives files
 without rows; other columns of the input are ignored.
 """
@@ -45,7 +45,7 @@ PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
 CACHE = 700_000   # pieces remembered by a Python worker
 STEP = 100          # documents encoded together
-JOINED = 256        # pieces encoded in one call
+JOINED = 32         # pieces encoded in one call
 
 WRITE_OPTIONS = {
     "compression": "zstd",
@@ -121,18 +121,24 @@ class Encoder:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > self.memory:
             self.known = {"\n": self.feed}
-        firsts, rests, whole, new = [], [], {}, set()
+        firsts, cuts, whole, new, get = [], [], {}, set(), self.known.get
         for i, text in enumerate(texts):
             if not self.cuts or not text or text[0] in " \n" or text[-1] == " " or any(x in text for x in ODD_WHITE):
                 whole[i] = text
             else:  # only single spaces and line feeds: every piece but the first follows one of them
                 first, *rest = text.replace("\n", " \n").split(" ")
-                new.update(set(rest).difference(self.known))
+                found, lost = list(map(get, rest)), []
+                if None in found:
+                    lost = [(k, rest[k]) for k, ids in enumerate(found) if ids is None]
+                    new.update([piece for _, piece in lost])
                 firsts.append(first)
-                rests.append(rest)
+                cuts.append((found, lost))
         if new:
             self.learn(new)
-        cut = (first + b"".join(map(self.known.__getitem__, rest)) for first, rest in zip(self.encode_joined(firsts), rests))
+        for found, lost in cuts:
+            for k, piece in lost:
+                found[k] = self.known[piece]
+        cut = (first + b"".join(found) for first, (found, _) in zip(self.encode_joined(firsts), cuts))
         as_is = dict(zip(whole, self.encode(list(whole.values()))))
         return [as_is[i] if i in as_is else next(cut) for i in range(len(texts))]
 
