@@ -108,8 +108,8 @@ class Model:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         raw = self.raw(x)
-        if not len(self.knots):
-            return np.full(len(x), self.base)
+        if not len(self.knots):   # nothing to calibrate with: labels are 0 and 1, so is the ridge's scale
+            return np.clip(raw, 0.0, 1.0)
         # a sliver of the raw score keeps the order inside a flat step
         tilt = (np.clip(raw, LOW, HIGH) - LOW) / (HIGH - LOW)
         return np.clip(0.999 * np.interp(raw, self.knots, self.levels) + 0.001 * tilt, 0.0, 1.0)
