@@ -10,7 +10,8 @@ Scale: training is one scan with one count table per task and a sum by
 (language, bucket); scoring is a scan without a shuffle. The matrix is held
 under ``MATRIX_BYTES`` by taking fewer buckets for many languages, and training
 refuses more languages than that allows. Texts are handled in slices of
-``SLICE`` characters, so memory does not grow with a text.
+``SLICE`` characters, cut before white space, so memory does not grow with a text
+(but with a run of that many characters without any white space).
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if nothing was learned (no row with a label and a letter); of
@@ -22,6 +23,7 @@ result is one struct column, whose name the caller picks).
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,7 @@ from ledgerline.llm import common as C
 BITS = 16
 MATRIX_BYTES = 64 << 20
 SLICE = 1 << 20
+WHITE = re.compile(r"\s")
 SMOOTHING = 0.5
 UNKNOWN = "und"
 RESULT = "lang string, score double"
@@ -70,13 +73,18 @@ def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(texts: list[str | None], size: int = SLICE) -> Iterator[tuple[list[int], list[str]]]:
-    """Owners and pieces of the texts, about ``size`` characters at a time; a longer
-    text is cut, and its pieces scored like texts of their own."""
+    """Owners and pieces of the texts, about ``size`` characters at a time. A longer text is
+    cut before white space, which no gram reaches over, so its pieces have the grams of
+    the whole."""
     owners, pieces, total = [], [], 0
     for i, text in enumerate(texts):
-        for start in range(0, len(text or ""), size):
+        start, text = 0, text or ""
+        while start < len(text):
+            gap = WHITE.search(text, start + size) if start + size < len(text) else None
+            end = gap.start() if gap else len(text)
             owners.append(i)
-            pieces.append(text[start:start + size])
+            pieces.append(text[start:end])
+            start = end
             total += len(pieces[-1])
             if total >= size:
                 yield owners, pieces
