@@ -21,6 +21,8 @@ counted as one (2^63 values).
 
 Defined results: a null text is empty; an empty text is the end token alone;
 without training documents every score is 0 (V = 0: the uniform share is 1);
+if no training document falls to the held-out share (few documents, or one copied
+text), every token is held out of the other tokens' counts instead (leave one out);
 a null id is a training document; repeated rows count each time and get equal
 scores; an empty table gives an empty result; other columns are ignored.
 """
@@ -176,21 +178,22 @@ class Totals:
     kept_tokens: int
 
 
-def estimates(keys: Keys, counts: np.ndarray, n_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def estimates(keys: Keys, counts: np.ndarray, n_tokens: int, without: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per token: its count, the context's bucket, and the maximum-likelihood bigram
     and unigram probabilities. The context of a first token is the end, which occurs
-    once per training text."""
+    once per training text. ``without`` 1: as if the token itself had not been counted."""
     of_word = counts[keys.word_at]
-    own, before = of_word[keys.tokens], of_word[keys.context]
-    bigram = np.divide(counts[keys.pair_at], before, out=np.zeros(len(own)), where=before > 0)
+    own, before = np.maximum(of_word[keys.tokens] - without, 0), np.maximum(of_word[keys.context] - without, 0)
+    pair, n_tokens = np.maximum(counts[keys.pair_at] - without, 0), n_tokens - without
+    bigram = np.divide(pair, before, out=np.zeros(len(own)), where=before > 0)
     bucket = np.minimum(np.log2(np.maximum(before, 0.5)).astype(np.int64) + 1, BUCKETS - 1)  # 0: unseen context
     bucket[before == 0] = 0
     return own, bucket, bigram, own / max(n_tokens, 1)
 
 
-def histogram(dev: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
+def histogram(dev: DataFrame, answers: DataFrame, column: str, n_tokens: int, without: int = 0) -> DataFrame:
     """Held-out tokens by context bucket and by either probability, on a log scale
-    (-1: zero): bucket, p2, p1, n."""
+    (-1: zero): bucket, p2, p1, n. ``column``: of the counts."""
     def step(p: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
             return np.where(p > 0, np.round(-np.log2(p) * STEPS), -1).astype(np.int32)
@@ -200,7 +203,7 @@ def histogram(dev: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
             return pa.table([pa.array([], pa.int32())] * 3 + [pa.array([], pa.int64())], names=["bucket", "p2", "p1", "n"])
         train = np.asarray(left["train"].to_numpy(), bool)
         keys = block_keys(left["text"].to_pylist())
-        _, bucket, bigram, unigram = estimates(keys, of_block(right, "kept"), totals.kept_tokens)
+        _, bucket, bigram, unigram = estimates(keys, of_block(right, column), n_tokens, without)
         cells = np.stack([bucket.astype(np.int32), step(bigram), step(unigram)], axis=1)[np.repeat(train, keys.lengths)]
         cells, n = np.unique(cells, axis=0, return_counts=True)
         return pa.table([pa.array(c, pa.int32()) for c in cells.reshape(-1, 3).T] + [pa.array(n, pa.int64())],
@@ -276,8 +279,11 @@ def score(docs: DataFrame, train: Column, tag: Column, block_chars: int = BLOCK_
     sums = answers.filter("block = -1").agg(*[F.sum(c) for c in ("words", "tokens", "kept_words", "kept_tokens")]).first()
     totals = Totals(*[int(x or 0) for x in sums])
     answers = answers.filter("block >= 0")
-    dev = histogram(blocks.filter(F.col("block") >= n_blocks), answers.filter(F.col("block") >= n_blocks), totals).toArrow()
+    dev = histogram(blocks.filter(F.col("block") >= n_blocks), answers.filter(F.col("block") >= n_blocks),
+                    "kept", totals.kept_tokens).toArrow()
+    words = totals.kept_words
+    if not dev.num_rows:   # no training row fell to the held-out share: each token is held out of the others
+        dev, words = histogram(blocks, answers, "counts", totals.tokens, without=1).toArrow(), totals.words
     at = lambda c: np.where(dev[c].to_numpy() < 0, 0.0, 2.0 ** (-dev[c].to_numpy() / STEPS))
-    weights = learn_weights(dev["bucket"].to_numpy(), at("p2"), at("p1"), dev["n"].to_numpy().astype(float),
-                            1 / (totals.kept_words + 1))
+    weights = learn_weights(dev["bucket"].to_numpy(), at("p2"), at("p1"), dev["n"].to_numpy().astype(float), 1 / (words + 1))
     return scored(blocks, answers, totals, weights)

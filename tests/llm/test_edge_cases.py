@@ -2,6 +2,7 @@
 columns, for every operator and pipeline stage."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,17 @@ def test_language_slices_do_not_change_what_is_counted():
         language.bucket_bits(1 << 20)
 
 
+def test_language_slices_have_the_grams_of_the_whole():
+    import numpy as np
+    text = "Straße ünd ΣΑΣ  weiß\tnicht, " * 400 + "x" * 5000 + " the end"
+    whole = np.bincount(language.grams([text], 16)[0], minlength=1 << 16)
+    for size in (1, 7, 100, 1000):
+        parts = [p for _, ps in language.slices([text, None, "b"], size) for p in ps]
+        assert "".join(parts) == text + "b"
+        cut = sum(np.bincount(language.grams([p], 16)[0], minlength=1 << 16) for p in parts[:-1])
+        assert (cut == whole).all()
+
+
 def test_quality(spark, docs, none):
     features = docs.select("doc_id", quality.statistics_of("text").alias("x"))
     labels = spark.createDataFrame([(1, 1, False), (2, 0, False), (3, 0, True), (4, 1, True), (4, 1, True), (5, None, True),
@@ -84,6 +96,16 @@ def test_quality(spark, docs, none):
     assert gone.select(quality.scores(gone, model)).count() == 0
 
 
+def test_quality_without_rows_to_calibrate_with(spark):
+    good, bad = "Plain words make a sentence of some length here.", "### $$$ ||| ### $$$"
+    rows = spark.createDataFrame([(i, bad if i % 2 else f"{good} {i}") for i in range(40)], "doc_id bigint, text string")
+    features = rows.select("doc_id", quality.statistics_of("text").alias("x"))
+    labels = rows.select("doc_id", (1 - F.col("doc_id") % 2).alias("y"), F.lit(False).alias("calibrate"))
+    model = quality.fit(features, labels)
+    got = {r.doc_id: r.s for r in features.select("doc_id", quality.scores(features, model).alias("s")).collect()}
+    assert all(0 <= s <= 1 for s in got.values()) and min(got[0], got[2]) > 0.8 and max(got[1], got[3]) < 0.2
+
+
 def test_isotonic_pools_violators():
     at, level = quality.isotonic([0, 1, 2, 3], [1, 1, 1, 1], [0, 1, 0, 1])
     assert level.tolist() == [0.0, 0.5, 1.0] and at.tolist() == [0.0, 1.5, 3.0]
@@ -277,6 +299,18 @@ def test_lm(docs, none):
     assert ngram_lm.score(none, F.lit(True), F.lit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 6, 30])
+def test_lm_learns_from_few_rows(spark, n):
+    """Whether or not a row falls to the held-out share, counts are used: known text is likelier than unknown."""
+    said = "the cat sat on the mat and the cat ran"
+    rows = [(i, said) for i in range(n)] + [(100, said), (101, "quite other words that nobody has ever said before now")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in ngram_lm.score(df, F.col("doc_id") < 100, F.lit(0)).collect()}
+    uniform = -got[100].n_tokens * math.log10(8)   # seven words and the end, and one unseen
+    assert got[100].score > uniform + 1 and got[100].score > got[101].score
+    assert got[100].score >= got[100].base_score or n == 1
+
+
 def test_lm_blocks_do_not_change_scores(docs):
     whole, cut = ({(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in
                    ngram_lm.score(docs, F.lit(True), F.lit(0), block_chars=n).collect()} for n in (10 ** 9, 20_000))
