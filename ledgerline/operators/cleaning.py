@@ -74,6 +74,27 @@ def deduplicate(df: DataFrame, key: str = KEY, keep_counts: bool = False) -> Dat
     return per_key.selectExpr(*out, *([VARIANTS, COPIES] if keep_counts else []))
 
 
+# A key that may hold over this share of all rows is deduplicated with partial aggregation.
+FREQUENT = 0.001
+
+
+def frequent_keys(df: DataFrame, key: str = KEY, share: float = FREQUENT) -> list:
+    """Keys that may hold over ``share`` of the rows: all that do, and some others, a few thousand at
+    most (counters per task, merged). Reads the key alone."""
+    return [k for k in df.stat.freqItems([key], share).first()[0] or [] if k is not None]
+
+
+def deduplicate_once(df: DataFrame, frequent: list, key: str = KEY, keep_counts: bool = False) -> DataFrame:
+    """``deduplicate`` with one shuffle of whole rows in place of two, for a frame that is cheap to read
+    twice (a written table). Rows are dealt by key once; distinct rows and the key's survivor are
+    then both found where they are. That would put a frequent key whole into one task, so
+    the ``frequent`` ones (``frequent_keys``) and rows without a key go the other way, collapsed in
+    each map task first. Same rows as ``deduplicate``."""
+    hot = F.col(key).isNull() | (F.col(key).isin(frequent) if frequent else F.lit(False))
+    rest = deduplicate(df.filter(~hot).repartition(F.col(key)), key, keep_counts)
+    return rest.unionByName(deduplicate(df.filter(hot), key, keep_counts))
+
+
 def _q(c: str) -> str:
     return f"`{c}`"
 

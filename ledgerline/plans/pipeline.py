@@ -53,7 +53,8 @@ class RunResult:
 def process(raw: DataFrame,
             margins: transform.Table = C.DEFAULT_CATEGORY_MARGINS,
             aliases: transform.Table = C.DEFAULT_CITY_ALIASES,
-            stats: Observation | None = None, cluster_by_month: bool = False) -> DataFrame:
+            stats: Observation | None = None, cluster_by_month: bool = False,
+            frequent_ids: list | None = None) -> DataFrame:
     """Lazy processed frame (cleaned, transformed, flagged). With ``stats`` the
     cleaning statistics are observed on the deduplicated frame.
 
@@ -63,11 +64,15 @@ def process(raw: DataFrame,
     collected in the writing (result) stage, whose task results are merged once
     per partition even when tasks or executors are lost. Lookups that are
     tables are written first, and hot keys measured on ``raw``: on the observed
-    frame that would take its statistics too early.
+    frame that would take its statistics too early. With ``frequent_ids`` whole rows
+    are shuffled once for the dedup, not twice (``cleaning.deduplicate_once``).
     """
     margins, aliases = (lookups.as_lookup(t) if lookups.is_table(t) else t for t in (margins, aliases))
     hot = transform.hot_lookup_keys(raw, margins, aliases)
-    deduped = cleaning.deduplicate(raw, keep_counts=True)
+    if frequent_ids is None:
+        deduped = cleaning.deduplicate(raw, keep_counts=True)
+    else:
+        deduped = cleaning.deduplicate_once(raw, frequent_ids, keep_counts=True)
     if cluster_by_month:
         deduped = files.rebalance_by(deduped, C.order_year_month(C.parse_date("order_date")))
     if stats is not None:
@@ -98,7 +103,7 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
-    counts = scratch_staging = bad = None
+    counts = scratch_staging = bad = frequent = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
@@ -109,9 +114,10 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         raw, bad = csv_ingest.read_staged(spark, csv_ingest.write_staged(parsed, staging_path, ingest_obs, by_reason=True))
         counts = dict(ingest_obs.get)
         log.info("ingest: %s", counts)
+        frequent = cleaning.frequent_keys(raw)
 
     stats_obs = Observation("cleaning")
-    processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True)
+    processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True, frequent_ids=frequent)
     processed_path = processed_path or scratch_path(spark, "processed")
     root = processed_path
     if versioned:

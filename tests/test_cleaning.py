@@ -86,3 +86,22 @@ def test_dates_become_date_type_and_last(raw_df):
 def test_empty_frame_stats(raw_df):
     s = stats_of(raw_df([]))
     assert s["rows_before_cleaning"] == 0 and s["rows_after_cleaning"] == 0
+
+
+def test_one_shuffle_dedup_equals_two(spark, raw_df):
+    """Also with frequent ids and rows without one; whole rows of other ids are shuffled once."""
+    import random
+    rng = random.Random(4)
+    rows = [row(rng.choice([None, "HOT", *[f"T{k}" for k in range(300)]]) if k % 2 else rng.choice([None, "HOT"]),
+                cust=f"C{rng.randint(1, 3)}", qty=rng.randint(1, 3)) for k in range(2500)]
+    df = raw_df(rows).repartition(6)
+    frequent = cleaning.frequent_keys(df, share=0.05)
+    assert "HOT" in frequent and len(frequent) <= 30
+    for keep in (False, True):
+        want = cleaning.deduplicate(df, keep_counts=keep)
+        for keys in (frequent, [], ["HOT"]):
+            got = cleaning.deduplicate_once(df, keys, keep_counts=keep)
+            assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    plan = cleaning.deduplicate_once(df, [], keep_counts=True)._jdf.queryExecution().executedPlan().toString()
+    cold = plan.split("Union")[1].split("REPARTITION_BY_COL")[0]
+    assert "hashpartitioning(transaction_id" in plan and cold.count("Exchange hashpartitioning") == 1
