@@ -49,7 +49,6 @@ JOINED = 32         # pieces encoded in one call
 
 WRITE_OPTIONS = {
     "compression": "zstd",
-    "parquet.compression.codec.zstd.level": "1",      # 8 % more bytes than level 3, for less CPU
     "parquet.writer.version": "PARQUET_2_0",          # integers without dictionary: delta encoded
     "parquet.block.size": str(ROW_GROUP_BYTES),
     "parquet.page.size": str(PAGE_BYTES),
