@@ -20,7 +20,7 @@ one task whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import (
@@ -32,6 +32,7 @@ from ledgerline.functions.columns import (
     parse_date,
 )
 from ledgerline.schema import KEY
+from ledgerline.session import scratch_path
 
 COPIES = "_copies"      # raw rows behind a survivor
 VARIANTS = "_variants"  # distinct rows behind a survivor
@@ -95,6 +96,51 @@ def deduplicate_once(df: DataFrame, frequent: list, key: str = KEY, keep_counts:
     return rest.unionByName(deduplicate(df.filter(hot), key, keep_counts))
 
 
+# Bits of the bitmap of repeated ids that every executor gets, at most (64 MB), and bits for each such id.
+MOST_BITS, ID_BITS = 1 << 29, 16
+BITMAP = 32768   # bits of one row, as Spark's bitmap functions have it
+
+
+def repeated_bitmap(df: DataFrame, key: str = KEY) -> tuple[DataFrame, int]:
+    """((``_bucket``, ``_bits``) rows; the number of bits): a bit for each hash of a key that has several rows,
+    NULL a key like any other. Reads and shuffles 64-bit hashes alone."""
+    spark, seen = df.sparkSession, Observation("repeated")
+    found = (df.select(F.xxhash64(key).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+             .filter("_n > 1").select("_hash"))
+    path = scratch_path(spark, "repeated-keys")
+    # above the exchange, so in the result stage: counted once per partition
+    found.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    bits = min(MOST_BITS, max(BITMAP, 1 << (seen.get["n"] * ID_BITS).bit_length()))
+    code = _bit_of(F.col("_hash"), bits)
+    rows = (spark.read.schema(found.schema).parquet(path).groupBy(F.bitmap_bucket_number(code).alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("_bits")))
+    path = scratch_path(spark, "repeated-bits")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), bits
+
+
+def _bit_of(hashed: Column, bits: int) -> Column:
+    return F.pmod(hashed, F.lit(bits).cast("bigint")) + 1   # the functions count from one
+
+
+def deduplicate_written(df: DataFrame, key: str = KEY, keep_counts: bool = False) -> DataFrame:
+    """``deduplicate`` for a written table, where rows with an id of their own are not shuffled: they are
+    the survivors as they are. A row whose id has no bit in ``repeated_bitmap`` has one; all
+    others (some with an id of their own among them, the more the fuller the bitmap) go
+    through ``deduplicate_once``. Same rows as ``deduplicate``."""
+    bitmap, bits = repeated_bitmap(df, key)
+    code = _bit_of(F.xxhash64(F.col(key)), bits)
+    found = df.withColumn("_code", code).join(F.broadcast(bitmap), F.bitmap_bucket_number("_code") == F.col("_bucket"), "left")
+    position = F.bitmap_bit_position("_code")
+    octet = F.conv(F.hex(F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+    flagged = found.withColumn("_again", F.coalesce(F.getbit(octet, (position % 8).cast("int")) == 1, F.lit(False)))
+    once = flagged.filter(~F.col("_again")).select(*[F.col(_q(c)) for c in df.columns])
+    again = flagged.filter("_again").select(*[F.col(_q(c)) for c in df.columns])
+    if keep_counts:
+        once = once.select("*", *[F.lit(1).cast("bigint").alias(c) for c in (VARIANTS, COPIES)])
+    return once.unionByName(deduplicate_once(again, frequent_keys(df, key), key, keep_counts))
+
+
 def _q(c: str) -> str:
     return f"`{c}`"
 

@@ -54,7 +54,7 @@ def process(raw: DataFrame,
             margins: transform.Table = C.DEFAULT_CATEGORY_MARGINS,
             aliases: transform.Table = C.DEFAULT_CITY_ALIASES,
             stats: Observation | None = None, cluster_by_month: bool = False,
-            frequent_ids: list | None = None) -> DataFrame:
+            written: bool = False) -> DataFrame:
     """Lazy processed frame (cleaned, transformed, flagged). With ``stats`` the
     cleaning statistics are observed on the deduplicated frame.
 
@@ -64,15 +64,14 @@ def process(raw: DataFrame,
     collected in the writing (result) stage, whose task results are merged once
     per partition even when tasks or executors are lost. Lookups that are
     tables are written first, and hot keys measured on ``raw``: on the observed
-    frame that would take its statistics too early. With ``frequent_ids`` whole rows
-    are shuffled once for the dedup, not twice (``cleaning.deduplicate_once``).
+    frame that would take its statistics too early. ``written``: ``raw`` is a written
+    table, so that the dedup may read it again and shuffle only rows of repeated
+    ids (``cleaning.deduplicate_written``).
     """
     margins, aliases = (lookups.as_lookup(t) if lookups.is_table(t) else t for t in (margins, aliases))
     hot = transform.hot_lookup_keys(raw, margins, aliases)
-    if frequent_ids is None:
-        deduped = cleaning.deduplicate(raw, keep_counts=True)
-    else:
-        deduped = cleaning.deduplicate_once(raw, frequent_ids, keep_counts=True)
+    dedup = cleaning.deduplicate_written if written else cleaning.deduplicate
+    deduped = dedup(raw, keep_counts=True)
     if cluster_by_month:
         deduped = files.rebalance_by(deduped, C.order_year_month(C.parse_date("order_date")))
     if stats is not None:
@@ -87,7 +86,7 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         staging_path: str | None = None,
         margins: transform.Table = C.DEFAULT_CATEGORY_MARGINS,
         aliases: transform.Table = C.DEFAULT_CITY_ALIASES,
-        versioned: bool = False,
+        versioned: bool = False, written: bool = False,
         jdbc_load: Mapping[str, object] | None = None) -> RunResult:
     """Run every stage. Give either ``raw`` (13 raw columns) or ``csv_path``.
 
@@ -99,11 +98,12 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
     rejects could not be: no line is lost. ``margins`` and ``aliases`` may be tables
     (key, value) of any size. ``versioned``: the processed table is written as a new
     version under ``processed_path`` (``sinks.versions``), so a run that fails leaves the
-    last one readable. ``jdbc_load`` (keyword arguments of
+    last one readable. ``written``: ``raw`` is a written table, cheap to read twice (lines
+    from ``csv_path`` always are one). ``jdbc_load`` (keyword arguments of
     ``sinks.jdbc.write_jdbc``: url, table, user, ...) adds the optional
     warehouse load of the processed table, the job's last step.
     """
-    counts = scratch_staging = bad = frequent = None
+    counts = scratch_staging = bad = None
     if raw is None:
         if csv_path is None:
             raise ValueError("give raw or csv_path")
@@ -114,10 +114,10 @@ def run(spark: SparkSession, raw: DataFrame | None = None, csv_path: str | None
         raw, bad = csv_ingest.read_staged(spark, csv_ingest.write_staged(parsed, staging_path, ingest_obs, by_reason=True))
         counts = dict(ingest_obs.get)
         log.info("ingest: %s", counts)
-        frequent = cleaning.frequent_keys(raw)
+        written = True
 
     stats_obs = Observation("cleaning")
-    processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True, frequent_ids=frequent)
+    processed = process(raw, margins, aliases, stats_obs, cluster_by_month=True, written=written)
     processed_path = processed_path or scratch_path(spark, "processed")
     root = processed_path
     if versioned:

@@ -1,25 +1,24 @@
-"""Incremental runs: only files that are new are parsed, and each id keeps one row in state.
+"""Incremental runs: only files that are new are parsed, and each id keeps one row of a micro-batch.
 
 Two Structured Streaming queries, each run until it has taken what is there
 (``availableNow``), so a run is a batch job that remembers where it was:
 
 1. ``ingest_new``: new CSV files -> the parser of the batch run -> ``root/staged``, a
    folder per micro-batch, good rows and malformed lines apart (S3, S5).
-2. ``dedup_new``: new good rows -> one row per id in the state store, the least by
-   the other columns, as J2 keeps -> ``root/changes``, the rows of the ids that a
-   micro-batch touched.
+2. ``dedup_new``: new good rows -> one row per id and micro-batch, the least by the
+   other columns, as J2 keeps -> ``root/changes``, the state of all runs.
 
-Whatever the change log holds of an id are rows it had, and the least of them is
-the last one written. So the log goes through the batch operators as it is, their
+Whatever the change log holds of an id are rows it had, and the least of all its rows is
+among them. So the log goes through the batch operators as it is, their
 dedup included, and gives what one run over all files gives, in whatever
 batches they came.
 
-Scale: parsing and the state grow with the new files and the number of ids; the log
-holds a row per id and micro-batch that touched it. The aggregation has partial
+Scale: parsing and the dedup of a micro-batch grow with the new files alone; the log
+holds a row per id and micro-batch that touched it, in files, so no executor's memory
+holds the ids seen so far (as a state store would, which also commits every one
+of its partitions in each micro-batch). The aggregation has partial
 counts before its shuffle, so a hot id (a third of all rows without one) is one row
-per task. The state is partitioned by ``spark.sql.shuffle.partitions`` as set at the first
-run; on a cluster set ``spark.sql.streaming.stateStore.providerClass`` to the
-RocksDB provider, which keeps it on disk. Offsets, state and output are in ``root``
+per task. Offsets and output are in ``root``
 on the shared file system: a lost executor re-runs tasks, a lost driver re-runs the
 micro-batch, which overwrites its own folder.
 """
@@ -49,9 +48,9 @@ def line_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.csv(path).select(F.coalesce("_whole", "value").alias("value"))
 
 
-def _taken(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
+def _taken(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run a query over what is there now, each micro-batch by ``write``."""
-    query = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    query = (stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
@@ -60,7 +59,7 @@ def ingest_new(spark: SparkSession, csv_path: str, root: str, max_files: int | N
     """S3 + S5 for the files that no earlier call has taken."""
     def write(batch: DataFrame, number: int) -> None:
         csv_ingest.write_staged(batch, f"{root}/staged/{BATCH}={number}")
-    _taken(csv_ingest.parse_lines(line_stream(spark, csv_path, max_files)), write, f"{root}/checkpoints/ingest", "append")
+    _taken(csv_ingest.parse_lines(line_stream(spark, csv_path, max_files)), write, f"{root}/checkpoints/ingest")
 
 
 def staged_schema() -> T.StructType:
@@ -75,18 +74,19 @@ def staged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dedup_new(spark: SparkSession, root: str, max_files: int | None = None) -> None:
-    """J1 + J2 over the good rows that no earlier call has taken, with the survivors of all calls as state."""
+    """J1 + J2 over the good rows that no earlier call has taken, a micro-batch at a time."""
     reader = spark.readStream.schema(staged_schema()).option("basePath", f"{root}/staged")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     good = reader.parquet(f"{root}/staged").filter(~F.col(csv_ingest.MALFORMED))
     others = [c for c in RAW_COLUMNS if c != KEY]
-    least = good.groupBy(KEY).agg(F.min(F.struct(*others)).alias("_keep"), F.count(F.lit(1)).alias(COPIES))
 
     def write(batch: DataFrame, number: int) -> None:
-        (batch.select(*[F.col(c) if c == KEY else F.col("_keep")[c].alias(c) for c in RAW_COLUMNS], COPIES)
-         .write.mode("overwrite").parquet(f"{root}/changes/{BATCH}={number}"))
-    _taken(least, write, f"{root}/checkpoints/dedup", "update")
+        least = batch.groupBy(KEY).agg(F.min(F.struct(*others)).alias("_keep"), F.count(F.lit(1)).alias(COPIES))
+        (least.select(*[F.col(c) if c == KEY else F.col("_keep")[c].alias(c) for c in RAW_COLUMNS], COPIES)
+         .write.mode("overwrite").parquet(f"{root}/changes/{BATCH}={number}", compression="zstd"))
+    # not the folder of the stateful query that was here before, whose offsets a query without state can't take on
+    _taken(good, write, f"{root}/checkpoints/dedup-batches")
 
 
 def changes(spark: SparkSession, root: str) -> DataFrame:
@@ -106,6 +106,6 @@ def run_new(spark: SparkSession, csv_path: str, root: str, max_files: int | None
         make_folder(spark, f"{root}/{folder}")
     ingest_new(spark, csv_path, root, max_files)
     dedup_new(spark, root, max_files)
-    result = pipeline.run(spark, raw=changes(spark, root), **options)
+    result = pipeline.run(spark, raw=changes(spark, root), written=True, **options)
     result.ingest_counts = csv_ingest.ingest_counts(staged(spark, root), by_reason=True).first().asDict()
     return result

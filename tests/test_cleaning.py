@@ -3,6 +3,7 @@ from decimal import Decimal as D
 from rows import row
 
 from ledgerline.operators import cleaning
+from ledgerline.schema import raw_schema
 
 
 def stats_of(df):
@@ -105,3 +106,20 @@ def test_one_shuffle_dedup_equals_two(spark, raw_df):
     plan = cleaning.deduplicate_once(df, [], keep_counts=True)._jdf.queryExecution().executedPlan().toString()
     cold = plan.split("Union")[1].split("REPARTITION_BY_COL")[0]
     assert "hashpartitioning(transaction_id" in plan and cold.count("Exchange hashpartitioning") == 1
+
+
+def test_deduplicate_of_a_written_table_shuffles_repeated_ids_only(spark, tmp_path, monkeypatch):
+    """Same rows as ``deduplicate``, with null and hot ids, also where the bitmap is too small to tell ids apart."""
+    made = [row(f"T{i % 90}" if i % 3 else None, qty=i % 4) for i in range(400)] + [row(f"U{i}") for i in range(300)]
+    spark.createDataFrame(made, raw_schema()).write.parquet(str(tmp_path / "t"))
+    df = spark.read.schema(raw_schema()).parquet(str(tmp_path / "t"))
+    for most in (cleaning.MOST_BITS, 32):
+        monkeypatch.setattr(cleaning, "MOST_BITS", most)
+        for keep in (False, True):
+            got, want = (f(df, keep_counts=keep) for f in (cleaning.deduplicate_written, cleaning.deduplicate))
+            assert got.columns == want.columns and got.dtypes == want.dtypes
+            assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+        dealt = cleaning.repeated_bitmap(df)[1]
+        assert dealt == (32 if most == 32 else 32768)
+    empty = cleaning.deduplicate_written(spark.createDataFrame([], raw_schema()), keep_counts=True)
+    assert empty.count() == 0

@@ -68,3 +68,11 @@ def test_no_rows(spark, tmp_path):
     put(tmp_path / "in", "a.csv", [])
     res = incremental.run_new(spark, str(tmp_path / "in"), str(tmp_path / "state"))
     assert res.processed.count() == 0 and res.ingest_counts["total_records"] == 0
+
+
+def test_no_state_store(spark, tmp_path):
+    """Micro-batches are reduced by themselves; no executor holds all ids, none is committed a partition at a time."""
+    for name in ("a", "b"):
+        put(tmp_path / "in", f"{name}.csv", some_lines(random.Random(7), 40))
+    incremental.run_new(spark, str(tmp_path / "in"), str(tmp_path / "state"), max_files=1)
+    assert not [p for p in (tmp_path / "state" / "checkpoints").iterdir() if (p / "state").exists()]
