@@ -56,16 +56,16 @@ def validated(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- sources ---------------------------------------------------------------------
 
-def _csv_folder(spark: SparkSession, sf: str) -> str:
+def _csv_folder(spark: SparkSession, sf: str, compression: str = "none") -> str:
     """The fixture rendered as CSV files in the shared checkpoint folder, once for a
-    session and table folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    session, table folder and compression."""
+    key = (spark.sparkContext.applicationId, sf, compression)
     if key not in _RENDERED:
-        _RENDERED[key] = fixture.write_sales_csv(spark, sf, scratch_path(spark, "sales-csv"))
+        _RENDERED[key] = fixture.write_sales_csv(spark, sf, scratch_path(spark, "sales-csv"), compression)
     return _RENDERED[key]
 
 
-_RENDERED: dict[tuple[str, str], str] = {}
+_RENDERED: dict[tuple[str, str, str], str] = {}
 
 
 def _ingested(spark: SparkSession, sf: str) -> csv_ingest.Ingested:
@@ -297,7 +297,7 @@ def q_report_roundtrip(spark, sf):
 # --- the end-to-end run ------------------------------------------------------------
 
 def _csv_run(spark: SparkSession, sf: str) -> pipeline.RunResult:
-    return pipeline.run(spark, csv_path=_csv_folder(spark, sf))
+    return pipeline.run(spark, csv_path=_csv_folder(spark, sf, "gzip"))
 
 
 def q_pipeline_stats(spark, sf):

@@ -143,7 +143,7 @@ def write_staged(parsed: DataFrame, path: str, counts: Observation | None = None
     if counts is not None:
         parsed = parsed.observe(counts, *count_columns(by_reason))
     flagged = parsed.withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
-    flagged.write.mode("overwrite").partitionBy(MALFORMED).parquet(path)
+    flagged.write.mode("overwrite").partitionBy(MALFORMED).parquet(path, compression="zstd")
     return path
 
 
