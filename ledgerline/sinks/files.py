@@ -86,7 +86,7 @@ def write_processed(df: DataFrame, path: str, fmt: str = "parquet",
     if fmt == "csv":
         w.options(**CSV_EXACT).csv(path)
     else:
-        w.format(fmt).save(path)
+        w.format(fmt).options(**({"compression": "zstd"} if fmt == "parquet" else {})).save(path)
     return path
 
 
