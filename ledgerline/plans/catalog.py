@@ -300,7 +300,7 @@ def q_processed_versions(spark, sf):
 
 def q_misfit_split(spark, sf):
     """K5: what the warehouse can hold, and the rows it can't."""
-    fits, misfits = jdbc.split_misfits(validated(spark, sf))
+    fits, misfits = jdbc.split_misfits(written(validated(spark, sf), "validated"))   # both halves start from files
     label = lambda df, why: df.select("transaction_id", F.col("revenue").cast("string").alias("revenue"), why.alias("misfit_columns"))
     return label(fits, F.lit("")).unionByName(label(misfits, F.col("misfit_columns")))
 
