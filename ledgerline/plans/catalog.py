@@ -282,8 +282,8 @@ def _sql(name: str) -> Query:
 
 def q_processed_table(spark, sf):
     """K2 round trip: the processed table written partitioned, read back."""
-    df = validated(spark, sf)
-    path = files.write_processed(df, scratch_path(spark, "processed"))
+    df = validation.add_flags(derived_by_month(spark, sf))
+    path = files.write_processed(df, scratch_path(spark, "processed"), rebalance=False)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

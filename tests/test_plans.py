@@ -71,3 +71,34 @@ def test_stats_observed_above_the_write_rebalance(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in p
     assert p.index("CollectMetrics") < p.index("REBALANCE_PARTITIONS_BY_COL")
     assert p.index("Filter") < p.index("CollectMetrics")   # bad dates are counted, then dropped
+
+
+def test_lookups_and_misfits_start_from_a_written_table(spark):
+    """Hot keys are measured, and halves split, on files: the view's joins are run once for all of it."""
+    for name in ("lookup_join_split", "misfit_split"):
+        assert "lineitem.parquet" not in plan(catalog.QUERIES[name](spark, SF)), name
+
+
+def test_whole_rows_meet_part_before_orders(spark):
+    """The part join shuffles lineitem's few numbers, not the rows with the order's texts."""
+    p = catalog.raw(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in p.splitlines() if "Join Inner" in line]
+    assert "o_orderkey" in joins[0] and "p_partkey" in joins[1], p
+
+
+def test_a_table_by_month_is_rebalanced_once(spark, monkeypatch):
+    """Its rewrite reads files of a month each and deals no row anew."""
+    calls, real = [], files.rebalance_by
+    monkeypatch.setattr(files, "rebalance_by", lambda df, key: calls.append(len(df.columns)) or real(df, key))
+    assert catalog.q_processed_versions(spark, SF).count() > 0
+    assert calls == [13]   # the raw columns, before others are derived
+    assert catalog.q_processed_table(spark, SF).count() > 0
+    assert calls == [13, 13]
+
+
+def test_compressed_lines_are_the_same(spark):
+    from ledgerline.sources import csv_ingest
+    plain, packed = (catalog._csv_folder(spark, SF, c) for c in ("none", "gzip"))
+    a, b = (csv_ingest.read_lines(spark, x) for x in (plain, packed))
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert plain != packed
