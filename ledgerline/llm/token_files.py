@@ -43,7 +43,8 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
-CACHE = 700_000   # pieces remembered by a Python worker
+CACHE = 400_000   # pieces remembered by a Python worker
+SEEN = 1 << 23      # slots that tell whether a piece was met before, a byte each
 STEP = 100          # documents encoded together
 JOINED = 32         # pieces encoded in one call
 
@@ -72,7 +73,8 @@ class Encoder:
 
     Pre-tokens never reach from a character that isn't white space into white
     space, nor out of a run of letters into punctuation, so a text can be cut
-    there. Each distinct piece is encoded once, new ones many at a time."""
+    there. Pieces that aren't known are encoded many at a time; one is remembered when
+    it is met again, so the many that occur once take no memory."""
 
     def __init__(self, path: str, memory: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -80,7 +82,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memory = memory
+        self.memory, self.seen = memory, bytearray(SEEN)
         parts = json.loads(self.tokenizer.to_str())
         before = parts["pre_tokenizer"] or {}
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -103,24 +105,32 @@ class Encoder:
             out += [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])]
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces that aren't known; marks after a word are encoded by themselves."""
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that aren't known; marks after a word are encoded by themselves."""
         words = {p: p.rstrip(MARKS) for p in pieces if p[-1:] in MARKS}
         words = {p: word for p, word in words.items() if word[-1:] in LETTERS}
-        plain = pieces.difference(words) | set(words.values()).difference(self.known)
+        found = {word: self.known[word] for word in words.values() if word in self.known}
+        plain = pieces.difference(words) | set(words.values()).difference(found)
         fed = [p for p in plain if p[0] == "\n"]
         spaced = [p for p in plain if p[0] != "\n"]
         after_feed = self.encode_joined([p[1:] for p in fed])
-        self.known.update((p, self.feed + ids) for p, ids in zip(fed, after_feed))
-        self.known.update(zip(spaced, self.encode_joined([" " + p for p in spaced])))
+        found.update((p, self.feed + ids) for p, ids in zip(fed, after_feed))
+        found.update(zip(spaced, self.encode_joined([" " + p for p in spaced])))
         marks = list({p[len(word):] for p, word in words.items()})
         of_mark = dict(zip(marks, self.encode_joined(marks)))
-        self.known.update((p, self.known[word] + of_mark[p[len(word):]]) for p, word in words.items())
+        found.update((p, found[word] + of_mark[p[len(word):]]) for p, word in words.items())
+        for p, ids in found.items():
+            slot = hash(p) % SEEN
+            if self.seen[slot]:
+                self.known[p] = ids
+            else:
+                self.seen[slot] = 1
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > self.memory:
-            self.known = {"\n": self.feed}
+            self.known, self.seen = {"\n": self.feed}, bytearray(SEEN)
         firsts, cuts, whole, new, get = [], [], {}, set(), self.known.get
         for i, text in enumerate(texts):
             if not self.cuts or not text or text[0] in " \n" or text[-1] == " " or any(x in text for x in ODD_WHITE):
@@ -133,11 +143,10 @@ class Encoder:
                     new.update([piece for _, piece in lost])
                 firsts.append(first)
                 cuts.append((found, lost))
-        if new:
-            self.learn(new)
+        learnt = self.learn(new) if new else {}
         for found, lost in cuts:
             for k, piece in lost:
-                found[k] = self.known[piece]
+                found[k] = learnt[piece]
         cut = (first + b"".join(found) for first, (found, _) in zip(self.encode_joined(firsts), cuts))
         as_is = dict(zip(whole, self.encode(list(whole.values()))))
         return [as_is[i] if i in as_is else next(cut) for i in range(len(texts))]
