@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +44,8 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
-CACHE = 400_000   # pieces remembered by a Python worker
-SEEN = 1 << 23      # slots that tell whether a piece was met before, a byte each
-STEP = 100          # documents encoded together
+CACHE = 200_000     # pieces remembered by a Python worker
+STEP = 2 << 20      # bytes of text encoded together; of a longer text, all
 JOINED = 32         # pieces encoded in one call
 
 WRITE_OPTIONS = {
@@ -64,17 +64,26 @@ ODD_WHITE = ("  ", "\n\n", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0
                                                   0x2029, 0x202F, 0x205F, 0x3000)))
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 # --- end of fixed values
-LETTERS = frozenset(re.findall(f"[{LATIN}]", "".join(map(chr, range(0x250)))))
+LETTERS = pa.array(re.findall(f"[{LATIN}]", "".join(map(chr, range(0x250)))), pa.large_string())
 MARKS = string.punctuation
 
 
+def id_lists(lists: list[str]) -> pa.Array:
+    """Ids that are the characters of strings (so below 0x110000), as little-endian unsigned
+    32-bit integers."""
+    sizes = np.cumsum([0, *map(len, lists)]) * 4
+    ids = "".join(lists).encode("utf-32-le", "surrogatepass")
+    return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(sizes), pa.py_buffer(ids)])
+
+
 class Encoder:
     """A byte-level BPE tokenizer with a bounded memory of encoded pieces.
 
     Pre-tokens never reach from a character that isn't white space into white
     space, nor out of a run of letters into punctuation, so a text can be cut
-    there. Pieces that aren't known are encoded many at a time; one is remembered when
-    it is met again, so the many that occur once take no memory."""
+    there. Arrow cuts many texts in one call and numbers their distinct pieces; only
+    these are looked up, and those that aren't known encoded, many at a time. The
+    pieces met last are remembered, those of the latest call first."""
 
     def __init__(self, path: str, memory: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -82,74 +91,94 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memory, self.seen = memory, bytearray(SEEN)
+        self.memory = memory
         parts = json.loads(self.tokenizer.to_str())
         before = parts["pre_tokenizer"] or {}
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = array.array("I", feed).tobytes()
-        self.known = {"\n": self.feed}  # ids of a piece after a space (a line feed stands for itself)
+        [self.feed] = self.encode(["\n"])
+        # pieces after a space (a line feed stands for itself) without the marks that end a word, and their ids
+        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         # what holds for cuts holds for byte-level pre-tokens of unchanged text; else texts are encoded whole
         self.cuts = (parts["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
-                     and not before["add_prefix_space"] and len(feed) == 1)
+                     and not before["add_prefix_space"] and len(self.feed) == 1)
 
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array.array("I", e.ids).tobytes() for e in found]
+    def encode(self, texts: list[str]) -> list[str]:
+        """Each text's ids as characters: a string is short in memory, and split and joined fast."""
+        # one a call: what the library returns of a text is many times its size
+        found = (self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in texts)
+        return [array.array("I", ids).tobytes().decode("utf-32-le", "surrogatepass") for ids in found]
 
-    def encode_joined(self, pieces: list[str]) -> list[bytes]:
+    def encode_joined(self, pieces: list[str]) -> list[str]:
         """Pieces without line feeds, many in one call: a line feed between two pieces is
         a token of its own."""
-        out, feed = [], np.frombuffer(self.feed, "<u4")
-        for ids in self.encode(["\n".join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)]):
-            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == feed) * 4).tolist()
-            out += [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])]
-        return out
-
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that aren't known; marks after a word are encoded by themselves."""
-        words = {p: p.rstrip(MARKS) for p in pieces if p[-1:] in MARKS}
-        words = {p: word for p, word in words.items() if word[-1:] in LETTERS}
-        found = {word: self.known[word] for word in words.values() if word in self.known}
-        plain = pieces.difference(words) | set(words.values()).difference(found)
-        fed = [p for p in plain if p[0] == "\n"]
-        spaced = [p for p in plain if p[0] != "\n"]
-        after_feed = self.encode_joined([p[1:] for p in fed])
-        found.update((p, self.feed + ids) for p, ids in zip(fed, after_feed))
-        found.update(zip(spaced, self.encode_joined([" " + p for p in spaced])))
-        marks = list({p[len(word):] for p, word in words.items()})
-        of_mark = dict(zip(marks, self.encode_joined(marks)))
-        found.update((p, found[word] + of_mark[p[len(word):]]) for p, word in words.items())
-        for p, ids in found.items():
-            slot = hash(p) % SEEN
-            if self.seen[slot]:
-                self.known[p] = ids
-            else:
-                self.seen[slot] = 1
-        return found
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.memory:
-            self.known, self.seen = {"\n": self.feed}, bytearray(SEEN)
-        firsts, cuts, whole, new, get = [], [], {}, set(), self.known.get
-        for i, text in enumerate(texts):
+        return [ids for many in self.encode(["\n".join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)])
+                for ids in many.split(self.feed)]
+
+    def look_up(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces; those not known are encoded, and all remembered."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        unknown = at.is_null()
+        new = pieces.filter(unknown).to_numpy(zero_copy_only=False).tolist()
+        bare = [p[1:] if p[0] == "\n" else " " + p for p in new]
+        found = iter(self.encode_joined([b for b in bare if b]))
+        learnt = [(self.feed if p[0] == "\n" else "") + (next(found) if b else "") for p, b in zip(new, bare)]
+        where = at.fill_null(0).to_numpy().astype("i8")
+        where[unknown.to_numpy(zero_copy_only=False)] = len(self.pieces) + np.arange(len(new))
+        ids = pa.concat_arrays([self.ids, id_lists(learnt)]).take(pa.array(where))
+        unmet = np.ones(len(self.pieces), bool)
+        unmet[at.drop_null().to_numpy()] = False
+        left = pa.array(np.flatnonzero(unmet)[:max(0, self.memory - len(pieces))])
+        self.pieces = pa.concat_arrays([pieces[:self.memory], self.pieces.take(left)])
+        self.ids = pa.concat_arrays([ids[:self.memory], self.ids.take(left)])
+        return ids
+
+    def piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces; marks after a word are encoded by themselves."""
+        words = pc.ascii_rtrim(pieces, MARKS)
+        lettered = pc.is_in(pc.utf8_slice_codeunits(words, -1), value_set=LETTERS)
+        words = pc.if_else(lettered, words, pieces)
+        sizes = pc.utf8_length(words)
+        marked = pc.not_equal(sizes, pc.utf8_length(pieces))
+        words = words.dictionary_encode()
+        ends = [p[n:] for p, n in zip(pieces.filter(marked).to_numpy(zero_copy_only=False), sizes.filter(marked).to_numpy())]
+        marks = list(dict.fromkeys(ends))
+        number = {m: k for k, m in enumerate(marks, 1)}
+        after = np.zeros(len(pieces), "i8")
+        after[marked.to_numpy(zero_copy_only=False)] = [number[m] for m in ends]
+        return pc.binary_join_element_wise(self.look_up(words.dictionary).take(words.indices),
+                                           id_lists(["", *self.encode_joined(marks)]).take(pa.array(after)),
+                                           pa.scalar(b"", pa.large_binary()))
+
+    def lists(self, texts: list[str], end: str = "") -> pa.ListArray:
+        """Each text's ids, then those of ``end``."""
+        firsts, rests = [], []
+        for text in texts:
             if not self.cuts or not text or text[0] in " \n" or text[-1] == " " or any(x in text for x in ODD_WHITE):
-                whole[i] = text
+                firsts.append(None)
+                rests.append(None)
             else:  # only single spaces and line feeds: every piece but the first follows one of them
-                first, *rest = text.replace("\n", " \n").split(" ")
-                found, lost = list(map(get, rest)), []
-                if None in found:
-                    lost = [(k, rest[k]) for k, ids in enumerate(found) if ids is None]
-                    new.update([piece for _, piece in lost])
+                first, space, rest = text.replace("\n", " \n").partition(" ")
                 firsts.append(first)
-                cuts.append((found, lost))
-        learnt = self.learn(new) if new else {}
-        for found, lost in cuts:
-            for k, piece in lost:
-                found[k] = learnt[piece]
-        cut = (first + b"".join(found) for first, (found, _) in zip(self.encode_joined(firsts), cuts))
-        as_is = dict(zip(whole, self.encode(list(whole.values()))))
-        return [as_is[i] if i in as_is else next(cut) for i in range(len(texts))]
+                rests.append(rest if space else None)
+        of_firsts = iter(self.encode_joined([f for f in firsts if f is not None]))
+        starts = [self.encode([text])[0] if f is None else next(of_firsts) for f, text in zip(firsts, texts)]
+        cut = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        pieces = cut.flatten().dictionary_encode()
+        distinct = len(pieces.dictionary)
+        parts = pa.concat_arrays([self.piece_ids(pieces.dictionary), id_lists([*starts, end])])
+        # the parts that a text is made of: its start, its pieces, the end
+        at = np.cumsum([0, *(pc.list_value_length(cut).fill_null(0).to_numpy() + 2)])
+        order, is_piece = np.empty(at[-1], "i8"), np.ones(at[-1], bool)
+        order[at[:-1]], order[at[1:] - 1] = distinct + np.arange(len(texts)), distinct + len(texts)
+        is_piece[at[:-1]] = is_piece[at[1:] - 1] = False
+        order[is_piece] = pieces.indices.to_numpy()
+        found = parts.take(pa.array(order))
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy() // 4)])[at]
+        ids = np.frombuffer(found.buffers()[2] or b"", "<i4", bounds[-1])
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        return [np.asarray(ids.values, "<i4").tobytes() for ids in self.lists(texts)]
 
 
 @functools.cache
@@ -159,15 +188,16 @@ def encoder(path: str) -> Encoder:
 
 def token_lists(path: str, end_id: int = END_ID, text: str = "text") -> Column:
     """array<int> of a text's ids, the end id last; one tokenizer per Python worker."""
-    end = np.array([end_id], "<u4").tobytes()
-
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            for at in range(0, len(batch), STEP):  # the output is as large as the input: a part at a time
-                ids = [x + end for x in encoder(path)([t or "" for t in batch.slice(at, STEP).to_pylist()])]
-                offsets = np.cumsum([0] + [len(x) // 4 for x in ids])
-                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            # the output is as large as the input: a part at a time
+            size = np.cumsum(pc.binary_length(batch).fill_null(0).to_numpy().astype("i8"))
+            cuts = np.flatnonzero(np.diff(size // STEP)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+                texts = batch.slice(a, b - a).fill_null("").to_numpy(zero_copy_only=False).tolist()
+                yield encoder(path).lists(texts, chr(end_id))
+            pa.default_memory_pool().release_unused()  # else a worker keeps what its largest part took
     return encode(F.col(text))
 
 

@@ -4,6 +4,7 @@ columns, for every operator and pipeline stage."""
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +166,24 @@ def test_token_pieces_equal_the_whole():
         assert [int.from_bytes(raw[k:k + 4], "little") for k in range(0, len(raw), 4)] == ids, repr(text)
 
 
+def test_token_pieces_are_encoded_once_and_memory_is_bounded():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    encoder, asked = token_files.Encoder(path, memory=20), []
+    encode = encoder.encode
+    encoder.encode = lambda pieces: asked.extend(pieces) or encode(pieces)
+    steps = [["the Zanzibar, kumquat! Zanzibar", "a Zanzibar.\nkumquat and\n", "odd  Quito"], ["my kumquat? Zanzibar", ""],
+             [f"some x{i} y{i}!! ñandú" for i in range(100)], [], ["my kumquat? Zanzibar\nx1"]]
+    for k, texts in enumerate(steps):
+        asked.clear()
+        found = encoder(texts)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ("Zanzibar" in "".join(asked)) == (k in (0, 4)), (k, asked)
+        assert len(encoder.pieces) == len(encoder.ids) <= 20
+
+
 def test_token_file_encodings(spark, docs):
     import glob
 
