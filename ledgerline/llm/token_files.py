@@ -45,7 +45,7 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
 CACHE = 200_000     # pieces remembered by a Python worker
-STEP = 2 << 20      # bytes of text encoded together; of a longer text, all
+STEP = 4 << 20      # bytes of text encoded together; of a longer text, all
 JOINED = 32         # pieces encoded in one call
 
 WRITE_OPTIONS = {
