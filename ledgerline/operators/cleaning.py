@@ -101,11 +101,11 @@ MOST_BITS, ID_BITS = 1 << 29, 16
 BITMAP = 32768   # bits of one row, as Spark's bitmap functions have it
 
 
-def repeated_bitmap(df: DataFrame, key: str = KEY) -> tuple[DataFrame, int]:
-    """((``_bucket``, ``_bits``) rows; the number of bits): a bit for each hash of a key that has several rows,
-    NULL a key like any other. Reads and shuffles 64-bit hashes alone."""
+def repeated_bitmap(df: DataFrame, *key: str) -> tuple[DataFrame, int]:
+    """((``_bucket``, ``_bits``) rows; the number of bits): a bit for each hash of a key (``KEY``, or the columns
+    given) that has several rows, NULL a key like any other. Reads and shuffles 64-bit hashes alone."""
     spark, seen = df.sparkSession, Observation("repeated")
-    found = (df.select(F.xxhash64(key).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    found = (df.select(F.xxhash64(*key or [KEY]).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
              .filter("_n > 1").select("_hash"))
     path = scratch_path(spark, "repeated-keys")
     # above the exchange, so in the result stage: counted once per partition
@@ -123,19 +123,27 @@ def _bit_of(hashed: Column, bits: int) -> Column:
     return F.pmod(hashed, F.lit(bits).cast("bigint")) + 1   # the functions count from one
 
 
-def deduplicate_written(df: DataFrame, key: str = KEY, keep_counts: bool = False) -> DataFrame:
-    """``deduplicate`` for a written table, where rows with an id of their own are not shuffled: they are
-    the survivors as they are. A row whose id has no bit in ``repeated_bitmap`` has one; all
-    others (some with an id of their own among them, the more the fuller the bitmap) go
-    through ``deduplicate_once``. Same rows as ``deduplicate``."""
-    bitmap, bits = repeated_bitmap(df, key)
-    code = _bit_of(F.xxhash64(F.col(key)), bits)
+def split_repeated(df: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key, of one or more columns, no other row has; the others), without a shuffle of rows, for a
+    frame that is cheap to read several times. A row whose key has no bit in ``repeated_bitmap`` is one of the
+    first; those with a bit, some with a key of their own among them, the more the fuller the
+    bitmap, are the others."""
+    bitmap, bits = repeated_bitmap(df, *key)
+    code = _bit_of(F.xxhash64(*key), bits)
     found = df.withColumn("_code", code).join(F.broadcast(bitmap), F.bitmap_bucket_number("_code") == F.col("_bucket"), "left")
     position = F.bitmap_bit_position("_code")
     octet = F.conv(F.hex(F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
     flagged = found.withColumn("_again", F.coalesce(F.getbit(octet, (position % 8).cast("int")) == 1, F.lit(False)))
     once = flagged.filter(~F.col("_again")).select(*[F.col(_q(c)) for c in df.columns])
     again = flagged.filter("_again").select(*[F.col(_q(c)) for c in df.columns])
+    return once, again
+
+
+def deduplicate_written(df: DataFrame, key: str = KEY, keep_counts: bool = False) -> DataFrame:
+    """``deduplicate`` for a written table, where rows with an id of their own are not shuffled: they are
+    the survivors as they are. The others of ``split_repeated`` go through ``deduplicate_once``. Same
+    rows as ``deduplicate``."""
+    once, again = split_repeated(df, key)
     if keep_counts:
         once = once.select("*", *[F.lit(1).cast("bigint").alias(c) for c in (VARIANTS, COPIES)])
     return once.unionByName(deduplicate_once(again, frequent_keys(df, key), key, keep_counts))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators import cleaning
 from ledgerline.operators.cleaning import COPIES
 from ledgerline.plans import pipeline
 from ledgerline.schema import CORRUPT, KEY, RAW_COLUMNS, REASONS, raw_schema
@@ -74,7 +75,8 @@ def staged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dedup_new(spark: SparkSession, root: str, max_files: int | None = None) -> None:
-    """J1 + J2 over the good rows that no earlier call has taken, a micro-batch at a time."""
+    """J1 + J2 over the good rows that no earlier call has taken, those of each micro-batch of ``ingest_new`` by
+    themselves. All that are new are taken at once, or ``max_files`` staged files at a time."""
     reader = spark.readStream.schema(staged_schema()).option("basePath", f"{root}/staged")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -82,8 +84,10 @@ def dedup_new(spark: SparkSession, root: str, max_files: int | None = None) -> N
     others = [c for c in RAW_COLUMNS if c != KEY]
 
     def write(batch: DataFrame, number: int) -> None:
-        least = batch.groupBy(KEY).agg(F.min(F.struct(*others)).alias("_keep"), F.count(F.lit(1)).alias(COPIES))
-        (least.select(*[F.col(c) if c == KEY else F.col("_keep")[c].alias(c) for c in RAW_COLUMNS], COPIES)
+        once, again = cleaning.split_repeated(batch.select(*RAW_COLUMNS, BATCH), BATCH, KEY)
+        least = again.groupBy(BATCH, KEY).agg(F.min(F.struct(*others)).alias("_keep"), F.count(F.lit(1)).alias(COPIES))
+        (once.select(*RAW_COLUMNS, F.lit(1).cast("bigint").alias(COPIES))
+         .unionByName(least.select(*[F.col(c) if c == KEY else F.col("_keep")[c].alias(c) for c in RAW_COLUMNS], COPIES))
          .write.mode("overwrite").parquet(f"{root}/changes/{BATCH}={number}", compression="zstd"))
     # not the folder of the stateful query that was here before, whose offsets a query without state can't take on
     _taken(good, write, f"{root}/checkpoints/dedup-batches")
@@ -105,7 +109,7 @@ def run_new(spark: SparkSession, csv_path: str, root: str, max_files: int | None
     for folder in ("staged", "changes"):   # no batch writes them while there are no rows
         make_folder(spark, f"{root}/{folder}")
     ingest_new(spark, csv_path, root, max_files)
-    dedup_new(spark, root, max_files)
+    dedup_new(spark, root)
     result = pipeline.run(spark, raw=changes(spark, root), written=True, **options)
     result.ingest_counts = csv_ingest.ingest_counts(staged(spark, root), by_reason=True).first().asDict()
     return result
